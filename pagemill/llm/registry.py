@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import mixing, simhash
+from pagemill.llm import decontamination, mixing, simhash, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (mixing.op5_mix_sources, simhash.op8_simhash_dedup)
+    found = (
+        mixing.op5_mix_sources,
+        decontamination.op7_decontamination,
+        simhash.op8_simhash_dedup,
+        toxicity.op9_toxicity,
+    )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mix_sources": mixing.ORACLE}
+    return {"op5_mix_sources": mixing.ORACLE, "op7_decontamination": decontamination.ORACLE}
