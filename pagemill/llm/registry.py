@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import decontamination, mixing, simhash, toxicity
+from pagemill.llm import decontamination, mixing, pii, simhash, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         mixing.op5_mix_sources,
+        pii.op6_pii,
         decontamination.op7_decontamination,
         simhash.op8_simhash_dedup,
         toxicity.op9_toxicity,
