@@ -29,6 +29,8 @@ SEED = 42
 GOLAY = 0b101011100011
 #: An anchor with more homes or visitors than these is dealt over tasks.
 HOMES, VISITORS = 2048, 16384
+#: Blocks of one anchor stay below 2**BLOCK_BITS.
+BLOCK_BITS = 26
 
 
 def fingerprint(text: bytes, k: int) -> int:
@@ -123,11 +125,11 @@ def _replicate(threshold: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            family, fp = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
             for half in (0, 1):
                 part = fp.view(np.uint64) >> np.uint64(32) if half else fp.view(np.uint64) & np.uint64(0xFFFFFFFF)
                 i, anchor, home = cover.anchors(part.astype(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(anchor | half << 32), pa.array(fp[i]), pa.array(home)], ["anchor", "fp", "home"])
+                yield pa.RecordBatch.from_arrays([pa.array(anchor | half << 32 | family[i] << 33), pa.array(fp[i]), pa.array(home)], ["anchor", "fp", "home"])
 
     return run
 
@@ -173,11 +175,12 @@ def _dense(homes: np.ndarray, guests: np.ndarray, threshold: int) -> tuple[list[
 def _compare(threshold: int):
     """Rows sorted by (anchor, block, visitors after homes) -> spanning links."""
 
-    def links(key: np.ndarray, fp: np.ndarray, home: np.ndarray) -> tuple[list[int], list[int]]:
+    def links(key: np.ndarray, fp: np.ndarray, home: np.ndarray) -> tuple[list[int], list[int], list[int]]:
         edge = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        family = key[edge] >> (33 + BLOCK_BITS)
         n = np.diff(np.append(edge, len(key)))
         homes = np.add.reduceat(home.astype(np.int64), edge)
-        pairs, u, v = homes * (n - homes), [], []
+        pairs, f, u, v = homes * (n - homes), [], [], []
         small = np.flatnonzero((pairs > 0) & (pairs <= 4096))
         for part in np.array_split(small, max(1, int(pairs[small].sum()) >> 20)):
             # all homes of a small group against all its visitors, many groups at a time
@@ -187,16 +190,21 @@ def _compare(threshold: int):
             guests = (n - homes)[part][of]
             x, y = fp[edge[part][of] + at // guests], fp[edge[part][of] + homes[part][of] + at % guests]
             near = (x != y) & (np.bitwise_count(x ^ y) <= threshold)
-            if near.any():
-                p, q = _forest(x[near].view(np.int64), y[near].view(np.int64))
+            near = np.flatnonzero(near)
+            kind = family[part][of[near]]
+            for g in np.unique(kind):
+                own = near[kind == g]
+                p, q = _forest(x[own].view(np.int64), y[own].view(np.int64))
                 u += p
                 v += q
+                f += [int(g)] * len(p)
         for k in np.flatnonzero(pairs > 4096):
             s, m = edge[k], edge[k] + homes[k]
             p, q = _dense(fp[s:m], fp[m : edge[k] + n[k]], threshold)
             u += p
             v += q
-        return u, v
+            f += [int(family[k])] * len(p)
+        return f, u, v
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -211,23 +219,24 @@ def _compare(threshold: int):
             # the last group may go on in the next batch
             cutoff = len(pair) if b is None else int(np.flatnonzero(pair != pair[-1])[-1] + 1) if (pair != pair[-1]).any() else 0
             if cutoff:
-                u, v = links(pair[:cutoff], rest[1][:cutoff], rest[2][:cutoff])
+                found = links(pair[:cutoff], rest[1][:cutoff], rest[2][:cutoff])
                 rest = [x[cutoff:] for x in rest]
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["family", "u", "v"])
 
     return run
 
 
 def mixed_key(pair: np.ndarray) -> np.ndarray:
-    """One number for (anchor of 33 bits, block); blocks stay below 2**30."""
-    return pair[:, 0].astype(np.int64) << 30 | pair[:, 1].astype(np.int64)
+    """One number for (family, anchor of 33 bits, block)."""
+    return pair[:, 0].astype(np.int64) << BLOCK_BITS | pair[:, 1].astype(np.int64)
 
 
 def near_links(points: DataFrame, threshold: int = 3) -> DataFrame:
-    """points (fp long, distinct) -> (u, v): links of at most `threshold` differing bits that join all that is linked."""
+    """points (family long < 16, fp long, distinct) -> (family, u, v): links of at most `threshold` differing bits, within a
+    family, that join all that is linked."""
     spark = points.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
-    sent = points.select("fp").mapInArrow(_replicate(threshold), "anchor long, fp long, home boolean")
+    sent = points.select(F.col("family").cast("long"), "fp").mapInArrow(_replicate(threshold), "anchor long, fp long, home boolean")
     crowd = sent.groupBy("anchor").agg(F.sum(F.col("home").cast("long")).alias("h"), F.count("*").alias("c"))
     # at most a 1/2048 part of the points: anchors whose work is dealt over blocks of homes by blocks of visitors
     crowd = cut(crowd.where((F.col("h") > 0) & ((F.col("h") > HOMES) | (F.col("c") > VISITORS))).select("anchor", F.ceil(F.col("h") / HOMES).cast("int").alias("nh"), F.ceil(F.col("c") / VISITORS).cast("int").alias("nv")))
@@ -246,12 +255,12 @@ def near_links(points: DataFrame, threshold: int = 3) -> DataFrame:
         sent = both.withColumn("block", F.lit(0))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = sent.select("anchor", "block", "fp", "home").repartition(n, "anchor", "block").sortWithinPartitions("anchor", "block", F.desc("home"))
-    return dealt.mapInArrow(_compare(threshold), "u long, v long")
+    return dealt.mapInArrow(_compare(threshold), "family long, u long, v long")
 
 
 def near_components(points: DataFrame, threshold: int = 3) -> DataFrame:
     """points (fp long, distinct) -> (node, root) of the fingerprints that have a link."""
-    return components(near_links(points, threshold))
+    return components(near_links(points.withColumn("family", F.lit(0)), threshold))
 
 
 def simhash_classes(docs: DataFrame, k: int = 3, threshold: int = 3) -> DataFrame:
@@ -269,6 +278,77 @@ def simhash_classes(docs: DataFrame, k: int = 3, threshold: int = 3) -> DataFram
     return fps.join(known, F.col("fp") == F.col("point")).select("doc_id", "fp", "component_id")
 
 
+#: Of the near-duplicate stage: fingerprints for each text, least hashes kept of its shingles, words of a shingle, similarity.
+FAMILIES, SKETCH, SHINGLE, SIMILAR = 8, 64, 5, 0.75
+
+
+def signature(text: bytes) -> tuple[list[int], list[int]]:
+    """Several independent fingerprints of a text's distinct words, and the least hashes of its 5-word shingles.
+
+    An edited word changes one distinct word but five shingles, so the words' fingerprints stay near where the shingles'
+    would not; a few families make it unlikely that a near copy is near in none.
+    """
+    w = text.lower().split()
+    if not w:
+        return [0] * FAMILIES, []
+    once = sorted(set(w))
+    bits = np.frombuffer(b"".join([xxhash.xxh3_128_digest(x, s) for x in once for s in range(FAMILIES // 2)]), np.uint8).reshape(len(once), -1)
+    counts = np.zeros(64 * FAMILIES, np.int64)
+    for i in range(0, len(once), 1 << 12):
+        counts += np.unpackbits(bits[i : i + (1 << 12)], axis=1).sum(0, dtype=np.int64)
+    fps = np.packbits(2 * counts > len(once)).view(">i8").astype(np.int64)
+    k = min(SHINGLE, len(w))
+    h = {xxhash.xxh64_intdigest(b" ".join(x), SEED) for x in zip(*(w[i:] for i in range(k)), strict=False)}
+    return fps.tolist(), np.sort(np.fromiter(h, np.uint64, len(h)))[:SKETCH].view(np.int64).tolist()
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text and any more) without the near copies: of each group the row of least id stays (a null id comes last).
+
+    Texts are near copies if some family's fingerprints differ in at most 3 bits and the sketches of their 5-word shingles
+    put the similarity at 0.75 or more (the estimate of 0.8 strays by 0.05). Of equal rows one stays. Empty and null texts are
+    copies of each other.
+    """
+    small_batches(docs.sparkSession)
+    names = docs.columns
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.withColumn("__k1", F.xxhash64("doc_id", text)).withColumn("__k2", F.xxhash64(text, "doc_id", F.lit(1)))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [signature(x) for x in byte_texts(b.column(2))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x for x, _ in found], pa.list_(pa.int64())), pa.array([x for _, x in found], pa.list_(pa.int64()))], ["doc_id", "k", "fps", "sketch"])
+
+    signed = cut(base_columns(keyed, doc_id=F.col("doc_id").cast("long"), k="__k1", text=text).mapInArrow(sign, "doc_id long, k long, fps array<long>, sketch array<long>"))
+    each = signed.select("k", F.posexplode("fps").alias("family", "fp"))
+    points = cut(each.groupBy("family", "fp").agg(F.min("k").alias("rep")))
+    links = near_links(points.select("family", "fp"))
+    far = _reps(links, points)
+    same = each.join(points, ["family", "fp"]).where("k <> rep").select(F.col("k").alias("a"), F.col("rep").alias("b"))
+    pairs = far.union(same).distinct()
+    sketches = signed.groupBy("k").agg(F.min("sketch").alias("sketch"))
+    both = pairs.join(sketches.select(F.col("k").alias("a"), F.col("sketch").alias("x")), "a").join(sketches.select(F.col("k").alias("b"), F.col("sketch").alias("y")), "b")
+    least = F.slice(F.array_sort(F.array_union("x", "y")), 1, SKETCH)
+    shared = F.size(F.array_intersect(F.array_intersect(least, F.col("x")), F.col("y")))
+    edges = both.where((F.size(least) == 0) | (shared >= SIMILAR * F.size(least))).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    label = components(edges)
+    ids = signed.groupBy("k").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    rooted = ids.join(label, F.col("k") == F.col("node"), "left").select("k", "doc_id", "n", F.coalesce("root", "k").alias("root"))
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "k")).alias("s"))
+    verdict = rooted.join(first, "root").select("k", "n", (F.col("k") == F.col("s.k")).alias("stays"))
+    verdict = cut(verdict.where("NOT stays OR n > 1"))
+    out = keyed.join(verdict, F.col("__k1") == F.col("k"), "left").where("stays IS NULL OR stays")
+    once = out.where("n IS NULL").select(*names)
+    return once.unionByName(out.where("n > 1").dropDuplicates(["__k1", "__k2"]).select(*names))
+
+
+def _reps(links: DataFrame, points: DataFrame) -> DataFrame:
+    """Links of fingerprints as links of the documents that stand for them."""
+    a = points.select("family", F.col("fp").alias("u"), F.col("rep").alias("a"))
+    b = points.select("family", F.col("fp").alias("v"), F.col("rep").alias("b"))
+    return links.join(a, ["family", "u"]).join(b, ["family", "v"]).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
