@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import decontamination, mixing, pii, simhash, toxicity
+from pagemill.llm import decontamination, mixing, pii, quality, simhash, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        quality.op2_quality_rules,
         mixing.op5_mix_sources,
         pii.op6_pii,
         decontamination.op7_decontamination,
