@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import decontamination, mixing, pii, quality, simhash, toxicity
+from pagemill.llm import decontamination, html, licenses, mixing, pii, quality, simhash, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        html.op1_html_extraction,
         quality.op2_quality_rules,
         mixing.op5_mix_sources,
         pii.op6_pii,
         decontamination.op7_decontamination,
         simhash.op8_simhash_dedup,
         toxicity.op9_toxicity,
+        licenses.op10_license_scan,
     )
     return {f.__name__: f for f in found}
 
