@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import decontamination, html, licenses, mixing, pii, quality, simhash, toxicity
+from pagemill.llm import decontamination, html, licenses, lm, mixing, pii, quality, simhash, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         html.op1_html_extraction,
         quality.op2_quality_rules,
+        lm.op3_lm_scoring,
         mixing.op5_mix_sources,
         pii.op6_pii,
         decontamination.op7_decontamination,
