@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import decontamination, html, licenses, lm, mixing, pii, quality, simhash, toxicity
+from pagemill.llm import decontamination, html, licenses, lm, mixing, pii, quality, simhash, suffixes, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         html.op1_html_extraction,
         quality.op2_quality_rules,
         lm.op3_lm_scoring,
+        suffixes.op4_suffix_dedup,
         mixing.op5_mix_sources,
         pii.op6_pii,
         decontamination.op7_decontamination,
