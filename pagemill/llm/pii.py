@@ -172,7 +172,9 @@ def redact(docs: DataFrame) -> DataFrame:
     held = held.withColumn("__k1", F.xxhash64("text")).withColumn("__k2", F.xxhash64("text", F.lit(7)))
     likely = F.col("text").rlike("[0-9]")
     found = _candidates(typed(base_columns(held.where(likely), text="text", k1="__k1", k2="__k2")))
-    found = cut(found.select("k1", "k2", F.explode("cand").alias("c")).select("k1", "k2", "c.*").distinct())
+    # written before it is exploded: a filter on the size of cand must not repeat the work that makes it
+    found = cut(found.select("k1", "k2", "cand")).select("k1", "k2", F.explode("cand").alias("c")).select("k1", "k2", "c.*").distinct()
+    found = cut(found)
     hits = found.join(discovered(found), "value", "left_semi").groupBy("k1", "k2").agg(F.collect_set("value").alias("__ids"))
     none = _empty("array<string>")
     plain = held.where(~likely).withColumn("__ids", none)
