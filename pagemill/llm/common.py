@@ -46,6 +46,13 @@ def base_columns(df: DataFrame, **wanted: Column | str) -> DataFrame:
     return df.select(*(F.col(c).alias(k) if isinstance(c, str) else c.alias(k) for k, c in wanted.items()))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, or the next like it that no column of df has."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

@@ -120,13 +120,14 @@ def contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, num: int = 4,
     return found if found is not None else docs.where("false").select("doc_id", *(F.lit(0).cast("long").alias(c) for c in ("item_id", "n_shingles", "n_found")))
 
 
-def flagged(docs: DataFrame, items: DataFrame, k: int = SHINGLE, num: int = 4, den: int = 5) -> DataFrame:
-    """All columns of docs, and contaminated (boolean): whether some item is contained. No shuffle; ids play no part."""
+def flagged(docs: DataFrame, items: DataFrame, k: int = SHINGLE, num: int = 4, den: int = 5, name: str = "contaminated") -> DataFrame:
+    """All columns of docs, and (boolean, under a name that docs must not have) whether some item is contained. No shuffle; ids
+    play no part."""
     spark = docs.sparkSession
     small_batches(spark)
     items = base_columns(items, item_id="item_id", text="text")
     blocks = max(1, -(-items.count() // BLOCK_ITEMS))
-    out = docs.withColumn("contaminated", F.lit(False))
+    out = docs.withColumn(name, F.lit(False))
     at = out.columns.index("text")
     for block in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)

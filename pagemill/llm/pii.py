@@ -167,26 +167,28 @@ def redact(docs: DataFrame) -> DataFrame:
 
     Only texts that hold candidates are shuffled, to meet what was discovered in them; a null text stays null.
     """
-    columns = docs.columns
-    held = docs.withColumn("__null", F.col("text").isNull()).withColumn("text", F.coalesce("text", F.lit("")))
-    held = held.withColumn("__k1", F.xxhash64("text")).withColumn("__k2", F.xxhash64("text", F.lit(7)))
+    # the row as one value, so that its names can't clash with those here
+    text = F.coalesce("text", F.lit(""))
+    held = docs.select(F.struct("*").alias("doc"), text.alias("text"), F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(7)).alias("k2"))
     likely = F.col("text").rlike("[0-9]")
-    found = _candidates(typed(base_columns(held.where(likely), text="text", k1="__k1", k2="__k2")))
+    found = _candidates(typed(held.where(likely).select("text", "k1", "k2")))
     # written before it is exploded: a filter on the size of cand must not repeat the work that makes it
     found = cut(found.select("k1", "k2", "cand")).select("k1", "k2", F.explode("cand").alias("c")).select("k1", "k2", "c.*").distinct()
     found = cut(found)
-    hits = found.join(discovered(found), "value", "left_semi").groupBy("k1", "k2").agg(F.collect_set("value").alias("__ids"))
+    hits = found.join(discovered(found), "value", "left_semi").groupBy("k1", "k2").agg(F.collect_set("value").alias("ids"))
     none = _empty("array<string>")
-    plain = held.where(~likely).withColumn("__ids", none)
-    some = held.where(likely).join(hits, (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")), "left").withColumn("__ids", F.coalesce("__ids", none))
+    some = held.where(likely).join(hits, ["k1", "k2"], "left").select("doc", "text", F.coalesce("ids", none).alias("ids"))
     core = lambda m: F.regexp_replace(F.regexp_replace(m, r"^[^A-Za-z0-9+(]*", ""), r"[^A-Za-z0-9)]+$", "")
     # discovered identifiers and keys first, while the words are whole
-    swap = lambda m: F.when(core(m).rlike(HEX_KEY) | F.array_contains("__ids", core(m)), F.concat(F.regexp_extract(m, r"^[^A-Za-z0-9+(]*", 0), F.lit("[ID]"), F.regexp_extract(m, r"[^A-Za-z0-9)]+$", 0))).otherwise(m)
+    swap = lambda m: F.when(core(m).rlike(HEX_KEY) | F.array_contains("ids", core(m)), F.concat(F.regexp_extract(m, r"^[^A-Za-z0-9+(]*", 0), F.lit("[ID]"), F.regexp_extract(m, r"[^A-Za-z0-9)]+$", 0))).otherwise(m)
     out = _replaced(some, WORD_WITH_DIGIT, "[0-9]", swap)
     for kind, pattern in PATTERNS.items():
         out = _replaced(out, pattern, NEEDS[kind], lambda m, kind=kind: F.when(VALID[kind](m), F.lit(f"[{kind.upper()}]")).otherwise(m))
-    done = out.select(*columns, "__null").unionByName(plain.select(*columns, "__null"))
-    return done.withColumn("text", F.when(F.col("__null"), F.lit(None)).otherwise(F.col("text"))).select(*columns)
+    new = F.when(F.col("doc.text").isNotNull(), F.col("text"))
+    columns = [new.alias("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns]
+    # a text without a digit can still hold an address
+    plain = _replaced(held.where(~likely), PATTERNS["email"], NEEDS["email"], lambda m: F.lit("[EMAIL]"))
+    return out.select(*columns).union(plain.select(*columns))
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

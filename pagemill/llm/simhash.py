@@ -310,16 +310,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     copies of each other.
     """
     small_batches(docs.sparkSession)
-    names = docs.columns
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumn("__k1", F.xxhash64("doc_id", text)).withColumn("__k2", F.xxhash64(text, "doc_id", F.lit(1)))
+    # the row as one value, so that its names can't clash with those here
+    keyed = docs.select(F.struct("*").alias("doc"), "doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("k1"), F.xxhash64(text, "doc_id", F.lit(1)).alias("k2"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [signature(x) for x in byte_texts(b.column(2))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x for x, _ in found], pa.list_(pa.int64())), pa.array([x for _, x in found], pa.list_(pa.int64()))], ["doc_id", "k", "fps", "sketch"])
 
-    signed = cut(base_columns(keyed, doc_id=F.col("doc_id").cast("long"), k="__k1", text=text).mapInArrow(sign, "doc_id long, k long, fps array<long>, sketch array<long>"))
+    signed = cut(base_columns(keyed, doc_id=F.col("doc_id").cast("long"), k="k1", text="text").mapInArrow(sign, "doc_id long, k long, fps array<long>, sketch array<long>"))
     each = signed.select("k", F.posexplode("fps").alias("family", "fp"))
     points = cut(each.groupBy("family", "fp").agg(F.min("k").alias("rep")))
     links = near_links(points.select("family", "fp"))
@@ -337,9 +337,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "k")).alias("s"))
     verdict = rooted.join(first, "root").select("k", "n", (F.col("k") == F.col("s.k")).alias("stays"))
     verdict = cut(verdict.where("NOT stays OR n > 1"))
-    out = keyed.join(verdict, F.col("__k1") == F.col("k"), "left").where("stays IS NULL OR stays")
-    once = out.where("n IS NULL").select(*names)
-    return once.unionByName(out.where("n > 1").dropDuplicates(["__k1", "__k2"]).select(*names))
+    out = keyed.select("doc", "k1", "k2").join(verdict, F.col("k1") == F.col("k"), "left").where("stays IS NULL OR stays")
+    once = out.where("n IS NULL").select("doc")
+    return once.union(out.where("n > 1").dropDuplicates(["k1", "k2"]).select("doc")).select("doc.*")
 
 
 def _reps(links: DataFrame, points: DataFrame) -> DataFrame:

@@ -99,16 +99,18 @@ def _rows(g, c, k1, k2, kind, x, y) -> pa.RecordBatch:
 
 def _merged_spans(k1, k2, x, y) -> tuple[np.ndarray, ...]:
     """Overlapping spans of a document as one."""
+    if not len(k1):
+        return k1, k2, x, y
     order = np.lexsort((x, k2, k1))
     k1, k2, x, y = k1[order], k2[order], x[order], y[order]
     new = np.append(True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]))
     group = np.cumsum(new) - 1
     # running ends within a document: offsets make documents disjoint
-    wide = int(y.max()) + 1 if len(y) else 1
+    wide = int(y.max()) + 1
     reach = np.maximum.accumulate(y + group * wide) - group * wide
     fresh = new | np.append(True, x[1:] > reach[:-1])
     at = np.flatnonzero(fresh)
-    return k1[at], k2[at], x[at], np.maximum.reduceat(y, at) if len(at) else y
+    return k1[at], k2[at], x[at], np.maximum.reduceat(y, at)
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,6 +120,8 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def settle() -> Iterator[pa.RecordBatch]:
         k1, k2, p, g, c = (np.concatenate(x) for x in zip(*held, strict=True))
         held.clear()
+        if not len(g):
+            return
         order = np.lexsort((c, g))
         k1, k2, p, g, c = (x[order] for x in (k1, k2, p, g, c))
         edge = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (c[1:] != c[:-1])))

@@ -211,18 +211,18 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
     return grammar
 
 
-def scored(docs: DataFrame, grammar: Grammar, text: str = "text") -> DataFrame:
-    """All columns of docs, and toxicity (double)."""
+def scored(docs: DataFrame, grammar: Grammar, text: str = "text", name: str = "toxicity") -> DataFrame:
+    """All columns of docs, and the score (double) under a name that docs must not have."""
     small_batches(docs.sparkSession)
     at = docs.columns.index(text)
     held = docs.sparkSession.sparkContext.broadcast(grammar)
-    schema = docs.withColumn("toxicity", F.lit(0.0)).schema
+    schema = docs.withColumn(name, F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = held.value
         for b in batches:
             s = [g.score(t) for t in byte_texts(b.column(at))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, "toxicity"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 
