@@ -402,12 +402,12 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     docs = base_columns(docs, k1=F.xxhash64("doc_id", text), k2=F.hash(text, F.col("doc_id")), doc_id=F.col("doc_id").cast("long"), text=text)
     found = docs.select("k1", "k2", "text").mapInArrow(_find, SCHEMA)
     settled = cut(found.repartition(parts, "g").sortWithinPartitions("g", "c").mapInArrow(_match, SCHEMA))
-    # the same exchange of texts serves both joins
+    # one exchange of texts serves both joins, as long as both take the same columns of it in one plan
     dealt = docs.repartition(parts, "k1", "k2")
     closer = settled.where("kind > 2").groupBy("k1", "k2").agg(F.collect_list(F.struct("x", "y", "kind")).alias("wanted"))
-    runs = dealt.join(closer.hint("merge"), ["k1", "k2"]).select("k1", "k2", "text", "wanted").mapInArrow(_runs(parts * 4), "part int, run binary")
+    runs = dealt.join(closer.hint("merge"), ["k1", "k2"]).select("k1", "k2", "text", "wanted", "doc_id").mapInArrow(_runs(parts * 4), "part int, run binary")
     partial = runs.repartition(parts, "part").mapInArrow(_merge, SCHEMA)
-    spans = settled.where("kind = 0").unionByName(cut(partial)).groupBy("k1", "k2").agg(F.collect_list(F.struct("x", "y")).alias("spans"))
+    spans = settled.where("kind = 0").unionByName(partial).groupBy("k1", "k2").agg(F.collect_list(F.struct("x", "y")).alias("spans"))
     return dealt.join(spans.hint("merge"), ["k1", "k2"], "left").select("doc_id", "text", "spans").mapInArrow(_remove, OUT)
 
 
