@@ -37,9 +37,11 @@ CLOSES = {
     "th": frozenset({"td", "th", "tr"}),
     "option": frozenset({"option"}),
 }
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
+#: Elements nested deeper become siblings, as in browsers; their text stays.
+DEEPEST = 512
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 #: Attribute and tag tokens by what they usually mark.
@@ -94,7 +96,7 @@ def parse(html: str) -> Node:
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = end.end() if end else n
-        elif tag not in VOID and not (m[3] or "").rstrip().endswith("/"):
+        elif tag not in VOID and not (m[3] or "").rstrip().endswith("/") and new.depth < DEEPEST:
             node = new
     return root
 
@@ -370,13 +372,22 @@ def decode(nodes: list[Node], odds: np.ndarray) -> frozenset[int]:
     return frozenset(drop)
 
 
+def main_texts(pages: list[str], model: Boosted) -> list[str]:
+    """For each page, the blocks of the main content, each with its white space collapsed, joined by empty lines."""
+    trees = [nodes_of(parse(html)) for html in pages]
+    if not trees:
+        return []
+    odds = model.predict(np.concatenate([features(nodes) for nodes in trees]))
+    ends = np.cumsum([len(nodes) for nodes in trees])
+    out = []
+    for nodes, end in zip(trees, ends.tolist(), strict=True):
+        kept = block_texts(nodes[0], decode(nodes, odds[end - len(nodes) : end]))
+        out.append("\n\n".join(t for t in map(_clean, kept) if t))
+    return out
+
+
 def main_text(html: str, model: Boosted) -> str:
-    """The blocks of the main content, each with its white space collapsed, joined by empty lines."""
-    nodes = nodes_of(parse(html))
-    odds = model.predict(features(nodes))
-    # loose text of the page's outermost elements is judged like their children
-    kept = block_texts(nodes[0], decode(nodes, odds))
-    return "\n\n".join(t for t in map(_clean, kept) if t)
+    return main_texts([html], model)[0]
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -387,7 +398,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [main_text(x, held.value) if x else "" for x in b.column(2).to_pylist()]
+            texts = main_texts([x or "" for x in b.column(2).to_pylist()], held.value)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return base_columns(pages, page_id=F.col("page_id").cast("long"), url="url", html="html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
