@@ -129,7 +129,8 @@ def _replicate(threshold: int):
             for half in (0, 1):
                 part = fp.view(np.uint64) >> np.uint64(32) if half else fp.view(np.uint64) & np.uint64(0xFFFFFFFF)
                 i, anchor, home = cover.anchors(part.astype(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(anchor | half << 32 | family[i] << 33), pa.array(fp[i]), pa.array(home)], ["anchor", "fp", "home"])
+                key = (anchor | half << 32 | family[i] << 33) << 1 | ~home
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[i])], ["key", "fp"])
 
     return run
 
@@ -173,22 +174,22 @@ def _dense(homes: np.ndarray, guests: np.ndarray, threshold: int) -> tuple[list[
 
 
 def _compare(threshold: int):
-    """Rows sorted by (anchor, block, visitors after homes) -> spanning links."""
+    """Rows (key, fp) or (key, fp, block), sorted by anchor, block, visitors after homes -> spanning links. Homes visit too."""
 
     def links(key: np.ndarray, fp: np.ndarray, home: np.ndarray) -> tuple[list[int], list[int], list[int]]:
         edge = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         family = key[edge] >> (33 + BLOCK_BITS)
         n = np.diff(np.append(edge, len(key)))
         homes = np.add.reduceat(home.astype(np.int64), edge)
-        pairs, f, u, v = homes * (n - homes), [], [], []
+        pairs, f, u, v = np.where(n > 1, homes * n, 0), [], [], []
         small = np.flatnonzero((pairs > 0) & (pairs <= 4096))
         for part in np.array_split(small, max(1, int(pairs[small].sum()) >> 20)):
             # all homes of a small group against all its visitors, many groups at a time
             total = pairs[part]
             of = np.repeat(np.arange(len(part)), total)
             at = np.arange(int(total.sum())) - np.repeat(np.cumsum(total) - total, total)
-            guests = (n - homes)[part][of]
-            x, y = fp[edge[part][of] + at // guests], fp[edge[part][of] + homes[part][of] + at % guests]
+            guests = n[part][of]
+            x, y = fp[edge[part][of] + at // guests], fp[edge[part][of] + at % guests]
             near = (x != y) & (np.bitwise_count(x ^ y) <= threshold)
             near = np.flatnonzero(near)
             kind = family[part][of[near]]
@@ -200,7 +201,7 @@ def _compare(threshold: int):
                 f += [int(g)] * len(p)
         for k in np.flatnonzero(pairs > 4096):
             s, m = edge[k], edge[k] + homes[k]
-            p, q = _dense(fp[s:m], fp[m : edge[k] + n[k]], threshold)
+            p, q = _dense(fp[s:m], fp[s : s + n[k]], threshold)
             u += p
             v += q
             f += [int(family[k])] * len(p)
@@ -210,12 +211,13 @@ def _compare(threshold: int):
         rest = None
         for b in itertools.chain(batches, [None]):
             if b is not None:
-                key, block, fp, home = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-                now = [np.stack([key, block], 1), fp.astype(np.int64).view(np.uint64), home]
+                key, fp = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+                block = b.column(2).to_numpy(zero_copy_only=False).astype(np.int64) if b.num_columns > 2 else 0
+                now = [(key >> 1 << BLOCK_BITS) | block, fp.view(np.uint64), (key & 1) == 0]
                 rest = now if rest is None else [np.concatenate(x) for x in zip(rest, now, strict=True)]
             if rest is None or not len(rest[1]):
                 continue
-            pair = mixed_key(rest[0])
+            pair = rest[0]
             # the last group may go on in the next batch
             cutoff = len(pair) if b is None else int(np.flatnonzero(pair != pair[-1])[-1] + 1) if (pair != pair[-1]).any() else 0
             if cutoff:
@@ -226,35 +228,30 @@ def _compare(threshold: int):
     return run
 
 
-def mixed_key(pair: np.ndarray) -> np.ndarray:
-    """One number for (family, anchor of 33 bits, block)."""
-    return pair[:, 0].astype(np.int64) << BLOCK_BITS | pair[:, 1].astype(np.int64)
-
-
 def near_links(points: DataFrame, threshold: int = 3) -> DataFrame:
     """points (family long < 16, fp long, distinct) -> (family, u, v): links of at most `threshold` differing bits, within a
     family, that join all that is linked."""
     spark = points.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
-    sent = points.select(F.col("family").cast("long"), "fp").mapInArrow(_replicate(threshold), "anchor long, fp long, home boolean")
-    crowd = sent.groupBy("anchor").agg(F.sum(F.col("home").cast("long")).alias("h"), F.count("*").alias("c"))
+    sent = points.select(F.col("family").cast("long"), "fp").mapInArrow(_replicate(threshold), "key long, fp long")
+    anchor, home = F.shiftright("key", 1), F.col("key") % 2 == 0
+    crowd = sent.groupBy(anchor.alias("anchor")).agg(F.sum(home.cast("long")).alias("h"), F.count("*").alias("c"))
     # at most a 1/2048 part of the points: anchors whose work is dealt over blocks of homes by blocks of visitors
     crowd = cut(crowd.where((F.col("h") > 0) & ((F.col("h") > HOMES) | (F.col("c") > VISITORS))).select("anchor", F.ceil(F.col("h") / HOMES).cast("int").alias("nh"), F.ceil(F.col("c") / VISITORS).cast("int").alias("nv")))
     crowds = crowd.count()
-    if crowds:
-        sent = sent.join(F.broadcast(crowd) if crowds <= 100_000 else crowd, "anchor", "left")
-        nh, nv = F.coalesce("nh", F.lit(1)), F.coalesce("nv", F.lit(1))
-        spread = F.xxhash64("fp")
-        mine = F.when(F.col("home"), F.transform(F.sequence(F.lit(0), nv - 1), lambda j: F.pmod(spread, nh).cast("int") * nv + j))
-        blocks = mine.otherwise(F.transform(F.sequence(F.lit(0), nh - 1), lambda i: i * nv + F.pmod(spread, nv).cast("int")))
-        # a point is its own visitor too: homes of one block meet those of another as visitors
-        both = sent.where("home").withColumn("home", F.lit(False)).unionByName(sent)
-        sent = both.withColumn("block", F.explode(blocks))
-    else:
-        both = sent.withColumn("home", F.explode(F.when(F.col("home"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
-        sent = both.withColumn("block", F.lit(0))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    dealt = sent.select("anchor", "block", "fp", "home").repartition(n, "anchor", "block").sortWithinPartitions("anchor", "block", F.desc("home"))
+    if not crowds:  # two numbers a row cross the network
+        dealt = sent.repartition(n, anchor).sortWithinPartitions("key")
+        return dealt.mapInArrow(_compare(threshold), "family long, u long, v long")
+    sent = sent.join(F.broadcast(crowd) if crowds <= 100_000 else crowd, anchor == F.col("anchor"), "left").select("key", "fp", "nh", "nv")
+    nh, nv = F.coalesce("nh", F.lit(1)), F.coalesce("nv", F.lit(1))
+    spread = F.xxhash64("fp")
+    mine = F.when(home, F.transform(F.sequence(F.lit(0), nv - 1), lambda j: F.pmod(spread, nh).cast("int") * nv + j))
+    blocks = mine.otherwise(F.transform(F.sequence(F.lit(0), nh - 1), lambda i: i * nv + F.pmod(spread, nv).cast("int")))
+    # homes of one block meet those of another as visitors
+    visits = sent.where(home & F.col("nh").isNotNull()).withColumn("key", F.col("key") + 1)
+    dealt = sent.unionByName(visits).select("key", "fp", F.explode(blocks).alias("block"))
+    dealt = dealt.repartition(n, anchor, "block").sortWithinPartitions(anchor, "block", "key")
     return dealt.mapInArrow(_compare(threshold), "family long, u long, v long")
 
 
