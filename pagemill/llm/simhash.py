@@ -3,8 +3,10 @@
 A 64-bit fingerprint is cut into two halves; two fingerprints that differ in at most t bits differ in at most t // 2 bits
 in one half. For each half, the words of a covering code are the anchors: the direct sum of the perfect binary Golay code
 (23 bits, radius 3), the perfect Hamming code (7 bits, radius 1) and two free bits (radius 0), 2**18 anchors. Each
-fingerprint has one home anchor, within the radius; it is also sent to each anchor that lies within radius plus threshold,
-so whatever is near a fingerprint meets it at its home. Fingerprints are compared per anchor, homes against visitors.
+fingerprint has one home anchor, within the radius. Of two fingerprints that are near, each lies within radius plus threshold
+of the other's home, so they would meet at both homes; once is enough. A fingerprint is sent home and to those anchors within
+radius plus threshold whose number is above its home's, so the one of lower home meets the other there. Fingerprints are
+compared per anchor, homes against visitors and among themselves.
 
 Equal fingerprints are one point from the start, so copies cost nothing. An anchor with very many points is dealt over
 tasks as blocks of homes by blocks of visitors. A task returns a spanning forest of the links it finds, never all pairs.
@@ -129,6 +131,10 @@ def _replicate(threshold: int):
             for half in (0, 1):
                 part = fp.view(np.uint64) >> np.uint64(32) if half else fp.view(np.uint64) & np.uint64(0xFFFFFFFF)
                 i, anchor, home = cover.anchors(part.astype(np.int64))
+                own = np.empty(len(fp), np.int64)
+                own[i[home]] = anchor[home]
+                once = home | (anchor > own[i])  # the other direction would find the same pairs again
+                i, anchor, home = i[once], anchor[once], home[once]
                 key = (anchor | half << 32 | family[i] << 33) << 1 | ~home
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[i])], ["key", "fp"])
 

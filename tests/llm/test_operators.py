@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -312,6 +313,26 @@ def test_covering_brings_all_near_points_together():
     assert len(at) == 500 and all((k, a) in seen for k, a in at.items())
 
 
+def test_replicated_points_meet_at_a_home():
+    r = np.random.default_rng(1)
+    x = r.integers(0, 1 << 64, 400, np.uint64)
+    y = x.copy()
+    for k in range(400):
+        for b in r.choice(64, k % 4, replace=False):
+            y[k] ^= np.uint64(1 << int(b))
+    met = []
+    for points in (x, y):
+        batch = pa.RecordBatch.from_arrays([pa.array(np.zeros(400, np.int64)), pa.array(points.view(np.int64))], ["family", "fp"])
+        rows = {}
+        for out in simhash._replicate(3)([batch]):
+            for key, fp in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
+                rows.setdefault(fp, []).append((key >> 1, key & 1 == 0))
+        met.append([rows[p] for p in points.view(np.int64).tolist()])
+    for a, b in zip(*met, strict=True):
+        homes = {anchor for row in (a, b) for anchor, home in row if home}
+        assert {anchor for anchor, _ in a} & {anchor for anchor, _ in b} & homes
+
+
 def test_dense_groups_are_joined():
     points = np.array([sum(1 << b for b in range(k)) for k in range(60)], np.uint64)
     u, v = simhash._dense(points, points, 3)
