@@ -41,6 +41,27 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Of a key bitmap: 2**26 positions in buckets of 2**15, so at most 2,048 rows of 4 KB (8 MB), whatever the number of keys.
+BITMAP_BITS, BUCKET_BITS = 26, 15
+
+
+def maybe_among(df: DataFrame, key: Column, keys: DataFrame, name: str) -> DataFrame:
+    """Adds name (boolean): false only where the key, a hash as a long, is not in the one column of keys.
+
+    The keys' positions are broadcast as a bitmap of bounded size; with very many keys it fills and lets more rows through,
+    so what it lets through has still to be joined.
+    """
+    at = F.col(keys.columns[0]).bitwiseAND((1 << BITMAP_BITS) - 1)
+    taken = keys.select(F.shiftright(at, BUCKET_BITS).alias("bucket"), at.bitwiseAND((1 << BUCKET_BITS) - 1).alias("bit"))
+    # by bucket first: a partial bitmap of a few keys would be larger than the keys
+    bitmap = taken.repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    at = key.bitwiseAND((1 << BITMAP_BITS) - 1)
+    byte = F.substring("bits", F.shiftright(at.bitwiseAND((1 << BUCKET_BITS) - 1), 3).cast("int") + 1, F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), at.bitwiseAND(7).cast("int"))
+    found = df.join(F.broadcast(bitmap), F.shiftright(at, BUCKET_BITS) == F.col("bucket"), "left")
+    return found.select(*df.columns, F.coalesce(bit == 1, F.lit(False)).alias(name))
+
+
 def base_columns(df: DataFrame, **wanted: Column | str) -> DataFrame:
     """Only the named columns, so that extra columns of the input can't clash with the ones an operator adds."""
     return df.select(*(F.col(c).alias(k) if isinstance(c, str) else c.alias(k) for k, c in wanted.items()))

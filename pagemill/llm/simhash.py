@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import base_columns, byte_texts, cut, small_batches, table
+from pagemill.llm.common import base_columns, byte_texts, cut, maybe_among, small_batches, table
 from pagemill.llm.graph import components
 
 SEED = 42
@@ -340,8 +340,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "k")).alias("s"))
     verdict = rooted.join(first, "root").select("k", "n", (F.col("k") == F.col("s.k")).alias("stays"))
     verdict = cut(verdict.where("NOT stays OR n > 1"))
-    out = keyed.select("doc", "k1", "k2").join(verdict, F.col("k1") == F.col("k"), "left").where("stays IS NULL OR stays")
-    once = out.where("n IS NULL").select("doc")
+    # only texts that may have a verdict cross the network
+    asked = maybe_among(keyed.select("doc", "k1", "k2"), F.col("k1"), verdict.select("k"), "asked")
+    out = asked.where("asked").join(verdict, F.col("k1") == F.col("k"), "left").where("stays IS NULL OR stays")
+    once = asked.where("NOT asked").select("doc").union(out.where("n IS NULL").select("doc"))
     return once.union(out.where("n > 1").dropDuplicates(["k1", "k2"]).select("doc")).select("doc.*")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pagemill.llm import decontamination, html, licenses, lm, mixing, pii, quality, simhash, suffixes, toxicity
+from pagemill.llm.common import maybe_among
 from pagemill.llm.graph import components
 
 SF = "/root/testdata/sf0.01"
@@ -350,6 +351,17 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
+def test_bitmap_keeps_all_keys(spark):
+    r = random.Random(7)
+    known = [r.getrandbits(64) - (1 << 63) for _ in range(500)] + [0, -1]
+    others = [r.getrandbits(64) - (1 << 63) for _ in range(500)]
+    rows = spark.createDataFrame([(k,) for k in known + others], "k1 long")
+    keys = spark.createDataFrame([(k,) for k in known], "k long")
+    hit = {x.k1: x.asked for x in maybe_among(rows, F.col("k1"), keys, "asked").collect()}
+    assert all(hit[k] for k in known) and sum(hit[k] for k in others) <= 2
+    assert not any(x.asked for x in maybe_among(rows, F.col("k1"), keys.limit(0), "asked").collect())
+
+
 def test_near_copies_stay_once(spark):
     base = [words(i, 300) for i in range(20)]
     texts = list(base)
