@@ -247,7 +247,7 @@ def near_links(points: DataFrame, threshold: int = 3) -> DataFrame:
     crowds = crowd.count()
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     if not crowds:  # two numbers a row cross the network
-        dealt = sent.repartition(n, anchor).sortWithinPartitions("key")
+        dealt = sent.repartition(n, anchor).sortWithinPartitions("key", "fp")
         return dealt.mapInArrow(_compare(threshold), "family long, u long, v long")
     sent = sent.join(F.broadcast(crowd) if crowds <= 100_000 else crowd, anchor == F.col("anchor"), "left").select("key", "fp", "nh", "nv")
     nh, nv = F.coalesce("nh", F.lit(1)), F.coalesce("nv", F.lit(1))
@@ -257,7 +257,7 @@ def near_links(points: DataFrame, threshold: int = 3) -> DataFrame:
     # homes of one block meet those of another as visitors
     visits = sent.where(home & F.col("nh").isNotNull()).withColumn("key", F.col("key") + 1)
     dealt = sent.unionByName(visits).select("key", "fp", F.explode(blocks).alias("block"))
-    dealt = dealt.repartition(n, anchor, "block").sortWithinPartitions(anchor, "block", "key")
+    dealt = dealt.repartition(n, anchor, "block").sortWithinPartitions(anchor, "block", "key", "fp")
     return dealt.mapInArrow(_compare(threshold), "family long, u long, v long")
 
 
@@ -281,8 +281,26 @@ def simhash_classes(docs: DataFrame, k: int = 3, threshold: int = 3) -> DataFram
     return fps.join(known, F.col("fp") == F.col("point")).select("doc_id", "fp", "component_id")
 
 
-#: Of the near-duplicate stage: fingerprints for each text, least hashes kept of its shingles, words of a shingle, similarity.
-FAMILIES, SKETCH, SHINGLE, SIMILAR = 8, 64, 5, 0.75
+#: Of the near-duplicate stage: fingerprints for each text, least hashes kept of its shingles, words of a shingle.
+FAMILIES, SKETCH, SHINGLE = 8, 64, 5
+#: Of SKETCH hashes, how many two texts share for certain (at a similarity of 0.8, at random in 1 of 100,000 cases) and at least
+#: (at 0.8, fewer in 1 of 2,000): in between, the texts themselves decide.
+SURE, MAYBE = 63, 40
+
+
+def shingles(text: bytes) -> set[int]:
+    """Hashes of a text's 5-word shingles (of the whole sequence, if it has fewer words)."""
+    w = text.lower().split()
+    if not w:
+        return set()
+    k = min(SHINGLE, len(w))
+    return {xxhash.xxh64_intdigest(b" ".join(x), SEED) for x in zip(*(w[i:] for i in range(k)), strict=False)}
+
+
+def similar(x: set[int], y: set[int]) -> bool:
+    """Whether two sets have a Jaccard similarity of 0.8 or more; empty sets are equal."""
+    shared = len(x & y)
+    return 5 * shared >= 4 * (len(x) + len(y) - shared)
 
 
 def signature(text: bytes) -> tuple[list[int], list[int]]:
@@ -300,17 +318,16 @@ def signature(text: bytes) -> tuple[list[int], list[int]]:
     for i in range(0, len(once), 1 << 12):
         counts += np.unpackbits(bits[i : i + (1 << 12)], axis=1).sum(0, dtype=np.int64)
     fps = np.packbits(2 * counts > len(once)).view(">i8").astype(np.int64)
-    k = min(SHINGLE, len(w))
-    h = {xxhash.xxh64_intdigest(b" ".join(x), SEED) for x in zip(*(w[i:] for i in range(k)), strict=False)}
+    h = shingles(text)
     return fps.tolist(), np.sort(np.fromiter(h, np.uint64, len(h)))[:SKETCH].view(np.int64).tolist()
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text and any more) without the near copies: of each group the row of least id stays (a null id comes last).
 
-    Texts are near copies if some family's fingerprints differ in at most 3 bits and the sketches of their 5-word shingles
-    put the similarity at 0.75 or more (the estimate of 0.8 strays by 0.05). Of equal rows one stays. Empty and null texts are
-    copies of each other.
+    Texts are near copies if some family's fingerprints differ in at most 3 bits and their sets of 5-word shingles have a
+    similarity of 0.8 or more: by their sketches where these hold all shingles or leave no doubt, else by the whole texts. Of
+    equal rows one stays. Empty and null texts are copies of each other.
     """
     small_batches(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
@@ -333,7 +350,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     both = pairs.join(sketches.select(F.col("k").alias("a"), F.col("sketch").alias("x")), "a").join(sketches.select(F.col("k").alias("b"), F.col("sketch").alias("y")), "b")
     least = F.slice(F.array_sort(F.array_union("x", "y")), 1, SKETCH)
     shared = F.size(F.array_intersect(F.array_intersect(least, F.col("x")), F.col("y")))
-    edges = both.where((F.size(least) == 0) | (shared >= SIMILAR * F.size(least))).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    m = F.size(least)
+    judged = both.select("a", "b", m.alias("m"), shared.alias("shared")).where(F.when(F.col("m") < SKETCH, 5 * F.col("shared") >= 4 * F.col("m")).otherwise(F.col("shared") >= MAYBE))
+    judged = cut(judged.select(F.col("a").alias("u"), F.col("b").alias("v"), ((F.col("m") < SKETCH) | (F.col("shared") >= SURE)).alias("sure")))
+    edges = judged.where("sure").select("u", "v").union(_verified(keyed.select("k1", "text"), judged.where("NOT sure").select("u", "v")))
     label = components(edges)
     ids = signed.groupBy("k").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
     rooted = ids.join(label, F.col("k") == F.col("node"), "left").select("k", "doc_id", "n", F.coalesce("root", "k").alias("root"))
@@ -347,6 +367,24 @@ def keep_one(docs: DataFrame) -> DataFrame:
     return once.union(out.where("n > 1").dropDuplicates(["k1", "k2"]).select("doc")).select("doc.*")
 
 
+def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (u, v) of the keys of texts (k1, text) whose whole texts are similar."""
+    small_batches(texts.sparkSession)
+    members = cut(pairs.select(F.explode(F.array("u", "v")).alias("k")).distinct())
+    asked = maybe_among(texts, F.col("k1"), members, "asked").where("asked")
+    # equal rows have one key and one text
+    whole = cut(asked.join(members, F.col("k1") == F.col("k")).groupBy("k").agg(F.min("text").alias("text")))
+    x = whole.select(F.col("k").alias("u"), F.col("text").alias("x"))
+    y = whole.select(F.col("k").alias("v"), F.col("text").alias("y"))
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            good = [similar(shingles(p), shingles(q)) for p, q in zip(byte_texts(b.column(2)), byte_texts(b.column(3)), strict=True)]
+            yield b.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    return pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(verify, "u long, v long")
+
+
 def _reps(links: DataFrame, points: DataFrame) -> DataFrame:
     """Links of fingerprints as links of the documents that stand for them."""
     a = points.select("family", F.col("fp").alias("u"), F.col("rep").alias("a"))

@@ -374,6 +374,23 @@ def test_near_copies_stay_once(spark):
     assert set(range(20)) <= stay and len(stay) <= 21
 
 
+def test_near_copies_have_a_similarity_of_at_least_four_fifths(spark):
+    base = [words(100 + i, 400).split() for i in range(12)]
+    texts = [" ".join(w) for w in base]
+    for n in (3, 10, 13, 14, 15, 17):  # edits apart from each other take 5 shingles each
+        for i, w in enumerate(base):
+            texts.append(" ".join("edit%d" % n if k % 20 == i and k < 20 * n else x for k, x in enumerate(w)))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(396)} for t in texts]
+    near = [[5 * len(x & y) >= 4 * len(x | y) for y in sets] for x in sets]
+    stay = {r.doc_id for r in simhash.keep_one(documents(spark, texts)).collect()}
+    assert all(any(near[i][j] for j in range(len(texts)) if j != i) for i in range(len(texts)) if i not in stay)
+    assert set(range(12)) <= stay and not any(i in stay for i in range(12, 24))
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k1 long, text string")
+    found = simhash._verified(rows, spark.createDataFrame(pairs, "u long, v long"))
+    assert {(r.u, r.v) for r in found.collect()} == {(i, j) for i, j in pairs if near[i][j]}
+
+
 def test_toxicity_learns_words_and_beginnings(spark):
     r = random.Random(8)
     texts, marks = [], []
