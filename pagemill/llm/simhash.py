@@ -286,6 +286,8 @@ FAMILIES, SKETCH, SHINGLE = 8, 64, 5
 #: Of SKETCH hashes, how many two texts share for certain (at a similarity of 0.8, at random in 1 of 100,000 cases) and at least
 #: (at 0.8, fewer in 1 of 2,000): in between, the texts themselves decide.
 SURE, MAYBE = 63, 40
+#: Texts looked at for common shingles, and how many of these are kept at most.
+COMMON_TEXTS, COMMON = 1 << 12, 1 << 16
 
 
 def shingles(text: bytes) -> set[int]:
@@ -303,15 +305,16 @@ def similar(x: set[int], y: set[int]) -> bool:
     return 5 * shared >= 4 * (len(x) + len(y) - shared)
 
 
-def signature(text: bytes) -> tuple[list[int], list[int]]:
-    """Several independent fingerprints of a text's distinct words, and the least hashes of its 5-word shingles.
+def signature(text: bytes, common: np.ndarray) -> tuple[list[int], list[int], list[int], int]:
+    """Several independent fingerprints of a text's distinct words; of its 5-word shingles, the least hashes, the first of them
+    in the order of `ranked`, and how many there are.
 
     An edited word changes one distinct word but five shingles, so the words' fingerprints stay near where the shingles'
     would not; a few families make it unlikely that a near copy is near in none.
     """
     w = text.lower().split()
     if not w:
-        return [0] * FAMILIES, []
+        return [0] * FAMILIES, [], [], 0
     once = sorted(set(w))
     bits = np.frombuffer(b"".join([xxhash.xxh3_128_digest(x, s) for x in once for s in range(FAMILIES // 2)]), np.uint8).reshape(len(once), -1)
     counts = np.zeros(64 * FAMILIES, np.int64)
@@ -319,44 +322,123 @@ def signature(text: bytes) -> tuple[list[int], list[int]]:
         counts += np.unpackbits(bits[i : i + (1 << 12)], axis=1).sum(0, dtype=np.int64)
     fps = np.packbits(2 * counts > len(once)).view(">i8").astype(np.int64)
     h = shingles(text)
-    return fps.tolist(), np.sort(np.fromiter(h, np.uint64, len(h)))[:SKETCH].view(np.int64).tolist()
+    return fps.tolist(), np.sort(np.fromiter(h, np.uint64, len(h)))[:SKETCH].view(np.int64).tolist(), ranked(h, common).view(np.int64).tolist(), len(h)
+
+
+def ranked(h: set[int], common: np.ndarray) -> np.ndarray:
+    """Of a set of n shingles the first n - ceil(0.8 n) + 1, in one order of all shingles: the common ones (sorted) last.
+
+    Sets of a similarity of 0.8 or more share at least 0.8 of the larger one, so they share one of these, in whatever order.
+    """
+    a = np.sort(np.fromiter(h, np.uint64, len(h)))
+    if len(a) and len(common):
+        late = common[np.minimum(np.searchsorted(common, a), len(common) - 1)] == a
+        a = np.concatenate([a[~late], a[late]])
+    return a[: len(a) - (4 * len(a) + 4) // 5 + 1 if len(a) else 0]
+
+
+def _common(texts: DataFrame) -> np.ndarray:
+    """Shingles that several of some COMMON_TEXTS texts (t, text) hold, at most COMMON. They only set an order: it keeps groups small."""
+    step = max(texts.count() // COMMON_TEXTS, 1)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = [np.fromiter(x, np.uint64, len(x)) for x in map(shingles, byte_texts(b.column(0)))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h or [np.zeros(0, np.uint64)]).view(np.int64))], ["h"])
+
+    counts = texts.where(F.pmod("t", F.lit(step)) == 0).select("text").mapInArrow(each, "h long").groupBy("h").agg(F.count("*").alias("n"))
+    top = counts.where("n >= 3").orderBy(F.desc("n"), "h").limit(COMMON).collect()
+    return np.sort(np.array([r.h for r in top], np.int64).view(np.uint64))
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (h, t, root, size, place), sorted by h and size -> pairs of texts of different roots that share h, of sizes and
+    places in their orders that leave room for a similarity of 0.8."""
+
+    def pairs(h: np.ndarray, t: np.ndarray, root: np.ndarray, size: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+        i, step = np.arange(len(h)), 1
+        while len(i):
+            i = i[: np.searchsorted(i, len(h) - step)]
+            i = i[(h[i] == h[i + step]) & (5 * size[i] >= 4 * size[i + step])]
+            j = i + step
+            room = np.minimum(place[i], place[j]) + np.minimum(size[i] - place[i], size[j] - place[j])
+            good = (root[i] != root[j]) & (9 * room >= 4 * (size[i] + size[j]))
+            if good.any():
+                x, y = t[i[good]], t[j[good]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+            step += 1
+
+    rest = None
+    for b in itertools.chain(batches, [None]):
+        if b is not None:
+            now = [b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5)]
+            rest = now if rest is None else [np.concatenate(x) for x in zip(rest, now, strict=True)]
+        if rest is None or not len(rest[0]):
+            continue
+        h = rest[0]
+        # the last group may go on in the next batch
+        cutoff = len(h) if b is None else int(np.searchsorted(h, h[-1]))
+        if cutoff:
+            yield from pairs(*(x[:cutoff] for x in rest))
+            rest = [x[cutoff:] for x in rest]
+
+
+def _sharing(prefixes: DataFrame, label: DataFrame) -> DataFrame:
+    """prefixes (t, size, prefix), label (node, root) -> pairs (a, b) of texts not yet in one group that can have a similarity of
+    0.8: none that has it is left out."""
+    spark = prefixes.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
+    known = prefixes.join(label, F.col("t") == F.col("node"), "left").select("t", F.coalesce("root", "t").alias("root"), "size", F.posexplode("prefix").alias("place", "h"))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    dealt = known.select("h", "t", "root", "size", "place").repartition(n, "h").sortWithinPartitions("h", "size")
+    return cut(dealt.mapInArrow(_meet, "a long, b long").where("a <> b").distinct())
+
+
+def _decided(texts: DataFrame, sketches: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are similar, as (u, v): by their sketches where these hold all shingles or leave no doubt, else by
+    the whole texts."""
+    both = pairs.join(sketches.select(F.col("t").alias("a"), F.col("sketch").alias("x")), "a").join(sketches.select(F.col("t").alias("b"), F.col("sketch").alias("y")), "b")
+    least = F.slice(F.array_sort(F.array_union("x", "y")), 1, SKETCH)
+    shared = F.size(F.array_intersect(F.array_intersect(least, F.col("x")), F.col("y")))
+    m = F.size(least)
+    judged = both.select("a", "b", m.alias("m"), shared.alias("shared")).where(F.when(F.col("m") < SKETCH, 5 * F.col("shared") >= 4 * F.col("m")).otherwise(F.col("shared") >= MAYBE))
+    judged = cut(judged.select(F.col("a").alias("u"), F.col("b").alias("v"), ((F.col("m") < SKETCH) | (F.col("shared") >= SURE)).alias("sure")))
+    return cut(judged.where("sure").select("u", "v").union(_verified(texts, judged.where("NOT sure").select("u", "v"))))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text and any more) without the near copies: of each group the row of least id stays (a null id comes last).
 
-    Texts are near copies if some family's fingerprints differ in at most 3 bits and their sets of 5-word shingles have a
-    similarity of 0.8 or more: by their sketches where these hold all shingles or leave no doubt, else by the whole texts. Of
-    equal rows one stays. Empty and null texts are copies of each other.
+    Texts are near copies if their sets of 5-word shingles have a similarity of 0.8 or more. Equal texts are one from the start.
+    Those whose fingerprints differ in at most 3 bits in some family are compared first, along spanning links; then all that
+    share one of the first shingles and are not yet in one group, so that no near copy is left uncompared. Of equal rows one
+    stays. Empty and null texts are copies of each other.
     """
     small_batches(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     # the row as one value, so that its names can't clash with those here
-    keyed = docs.select(F.struct("*").alias("doc"), "doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("k1"), F.xxhash64(text, "doc_id", F.lit(1)).alias("k2"))
+    keyed = docs.select(F.struct("*").alias("doc"), "doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("k1"), F.xxhash64(text, "doc_id", F.lit(1)).alias("k2"), F.xxhash64(text).alias("t"))
+    common = docs.sparkSession.sparkContext.broadcast(_common(keyed.select("t", "text")))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [signature(x) for x in byte_texts(b.column(2))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x for x, _ in found], pa.list_(pa.int64())), pa.array([x for _, x in found], pa.list_(pa.int64()))], ["doc_id", "k", "fps", "sketch"])
+            found = [signature(x, common.value) for x in byte_texts(b.column(3))]
+            lists = [pa.array([x[i] for x in found], pa.list_(pa.int64())) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *lists, pa.array([x[3] for x in found], pa.int64())], ["doc_id", "k", "t", "fps", "sketch", "prefix", "size"])
 
-    signed = cut(base_columns(keyed, doc_id=F.col("doc_id").cast("long"), k="k1", text="text").mapInArrow(sign, "doc_id long, k long, fps array<long>, sketch array<long>"))
-    each = signed.select("k", F.posexplode("fps").alias("family", "fp"))
-    points = cut(each.groupBy("family", "fp").agg(F.min("k").alias("rep")))
+    signed = cut(base_columns(keyed, doc_id=F.col("doc_id").cast("long"), k="k1", t="t", text="text").mapInArrow(sign, "doc_id long, k long, t long, fps array<long>, sketch array<long>, prefix array<long>, size long"))
+    each = signed.select("t", F.posexplode("fps").alias("family", "fp"))
+    points = cut(each.groupBy("family", "fp").agg(F.min("t").alias("rep")))
     links = near_links(points.select("family", "fp"))
     far = _reps(links, points)
-    same = each.join(points, ["family", "fp"]).where("k <> rep").select(F.col("k").alias("a"), F.col("rep").alias("b"))
-    pairs = far.union(same).distinct()
-    sketches = signed.groupBy("k").agg(F.min("sketch").alias("sketch"))
-    both = pairs.join(sketches.select(F.col("k").alias("a"), F.col("sketch").alias("x")), "a").join(sketches.select(F.col("k").alias("b"), F.col("sketch").alias("y")), "b")
-    least = F.slice(F.array_sort(F.array_union("x", "y")), 1, SKETCH)
-    shared = F.size(F.array_intersect(F.array_intersect(least, F.col("x")), F.col("y")))
-    m = F.size(least)
-    judged = both.select("a", "b", m.alias("m"), shared.alias("shared")).where(F.when(F.col("m") < SKETCH, 5 * F.col("shared") >= 4 * F.col("m")).otherwise(F.col("shared") >= MAYBE))
-    judged = cut(judged.select(F.col("a").alias("u"), F.col("b").alias("v"), ((F.col("m") < SKETCH) | (F.col("shared") >= SURE)).alias("sure")))
-    edges = judged.where("sure").select("u", "v").union(_verified(keyed.select("k1", "text"), judged.where("NOT sure").select("u", "v")))
-    label = components(edges)
-    ids = signed.groupBy("k").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
-    rooted = ids.join(label, F.col("k") == F.col("node"), "left").select("k", "doc_id", "n", F.coalesce("root", "k").alias("root"))
+    same = each.join(points, ["family", "fp"]).where("t <> rep").select(F.col("t").alias("a"), F.col("rep").alias("b"))
+    sketches, texts = signed.groupBy("t").agg(F.min("sketch").alias("sketch")), keyed.select(F.col("t").alias("k1"), "text")
+    near = _decided(texts, sketches, far.union(same).distinct())
+    label = components(near)
+    more = _decided(texts, sketches, _sharing(signed.select("t", "size", "prefix"), label))
+    label = components(near.union(more))
+    ids = signed.groupBy("k", "t").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    rooted = ids.join(label, F.col("t") == F.col("node"), "left").select("k", "doc_id", "n", F.coalesce("root", "t").alias("root"))
     first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "k")).alias("s"))
     verdict = rooted.join(first, "root").select("k", "n", (F.col("k") == F.col("s.k")).alias("stays"))
     verdict = cut(verdict.where("NOT stays OR n > 1"))
@@ -372,7 +454,7 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     small_batches(texts.sparkSession)
     members = cut(pairs.select(F.explode(F.array("u", "v")).alias("k")).distinct())
     asked = maybe_among(texts, F.col("k1"), members, "asked").where("asked")
-    # equal rows have one key and one text
+    # equal texts have one key
     whole = cut(asked.join(members, F.col("k1") == F.col("k")).groupBy("k").agg(F.min("text").alias("text")))
     x = whole.select(F.col("k").alias("u"), F.col("text").alias("x"))
     y = whole.select(F.col("k").alias("v"), F.col("text").alias("y"))

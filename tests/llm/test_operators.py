@@ -391,6 +391,36 @@ def test_near_copies_have_a_similarity_of_at_least_four_fifths(spark):
     assert {(r.u, r.v) for r in found.collect()} == {(i, j) for i, j in pairs if near[i][j]}
 
 
+def test_near_copies_by_blocks_and_reorderings_stay_once(spark):
+    r, texts = random.Random(3), []
+    for i in range(30):
+        w = words(100 + i, r.randint(150, 500)).split()
+        n, foreign = len(w), words(900 + i, 120).split()
+        texts += [w, w + foreign[: n // 6], foreign[: n // 8] + w, w[: n - n // 6], w[n // 7 :], w + foreign[: n // 2]]
+    texts = [" ".join(w) for w in texts]
+    for i in range(12):
+        lines = [words(5000 + 100 * i + j, 1) + " x" for j in range(40)]
+        texts += ["\n".join(lines)] * 3 + ["\n".join(r.sample(lines, 40)) for _ in range(2)]  # one set of words, other shingles
+    sets, root = [simhash.shingles(x.encode()) for x in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if simhash.similar(sets[i], sets[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    got = {x.doc_id for x in simhash.keep_one(documents(spark, texts)).collect()}
+    assert got == {i for i, x in enumerate(root) if i == x}
+
+
+def test_first_shingles_meet_in_any_order():
+    r = random.Random(8)
+    for _ in range(300):
+        x = {r.getrandbits(64) for _ in range(r.randint(1, 60))}
+        y = set(r.sample(sorted(x), max(1, len(x) - r.randint(0, 8)))) | {r.getrandbits(64) for _ in range(r.randint(0, 8))}
+        common = np.sort(np.array(r.sample(sorted(x | y), len(x | y) // 2), np.uint64))
+        if simhash.similar(x, y):
+            assert set(simhash.ranked(x, common).tolist()) & set(simhash.ranked(y, common).tolist())
+
+
 def test_toxicity_learns_words_and_beginnings(spark):
     r = random.Random(8)
     texts, marks = [], []
