@@ -1,7 +1,8 @@
 """License scans by an exact set-similarity join of text blocks with license templates.
 
-A block is a line. A template of n distinct tokens is contained in a block if at least ceil(t * n) of them occur there. Tokens
-are put into one global order, rarest first, by the number of blocks that hold them in the whole corpus, which Spark counts.
+A block is a line, or consecutive words across line ends (notices are wrapped): as many as the template has, and a tenth more.
+A template of n distinct tokens is contained in a block if at least ceil(t * n) of them occur there. Tokens
+are put into one global order, rarest first, by the number of lines that hold them in the whole corpus, which Spark counts.
 Then a block that contains a template holds one of the template's first n - ceil(t * n) + 1 tokens (the prefix filter); it
 has at least ceil(t * n) template tokens (the length filter); and after its first shared token, at place i of the template and
 j of the block, enough tokens are left in both (the positional filter). What passes is counted exactly, so none is missed.
@@ -11,7 +12,7 @@ Only tokens of templates can match, so the order is kept for those alone; templa
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter, defaultdict, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -63,6 +64,7 @@ class Index:
         self.sorted = [sorted(self.rank[w] for w in s) for _, s in sets]
         self.sets = [frozenset(s) for s in self.sorted]
         self.needed = [-(-len(s) * num // den) for s in self.sorted]
+        self.spans = [(n := len(tokens(t.encode()))) + n // 10 for _, t in templates]
         self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for t, s in enumerate(self.sorted):
             for i, w in enumerate(s[: len(s) - self.needed[t] + 1]):
@@ -86,6 +88,29 @@ class Index:
                     out[t] = n
         return out
 
+    def across(self, words: list[bytes]) -> dict[int, int]:
+        """Templates contained in consecutive words, whatever lines these stand in, with the most tokens shared at one place."""
+        mine = [(p, self.rank[w]) for p, w in enumerate(words) if w in self.rank]
+        held = {w for _, w in mine}
+        out = {}
+        for t in {t for w in held for t, _ in self.postings.get(w, ())}:
+            if len(self.sets[t] & held) < self.needed[t]:
+                continue
+            inside, count, best = deque(), Counter(), 0
+            for p, w in mine:
+                if w in self.sets[t]:
+                    inside.append((p, w))
+                    count[w] += 1
+                    while p - inside[0][0] >= self.spans[t]:
+                        _, old = inside.popleft()
+                        count[old] -= 1
+                        if not count[old]:
+                            del count[old]
+                    best = max(best, len(count))
+            if best >= self.needed[t]:
+                out[t] = best
+        return out
+
 
 def _frequencies(vocabulary: frozenset[bytes]):
     """By token of the vocabulary: the blocks that hold it."""
@@ -118,8 +143,8 @@ def _scan(index: Index):
                         base.add(label)
                         at = joined.find(p, at + 1)
                 if not index.first_words.isdisjoint(w):
-                    for line in text.split(b"\n"):
-                        for t, n in index.matches(set(tokens(line))).items():
+                    for found in (index.across(w), *(index.matches(set(tokens(line))) for line in text.split(b"\n"))):
+                        for t, n in found.items():
                             more.add(index.labels[t])
                             score = max(score, n / len(index.sorted[t]))
                 rows.append((len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | more)), 1.0 if base else score))

@@ -6,6 +6,7 @@ import math
 import os
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -474,6 +475,26 @@ def test_set_join_is_exact():
         assert index.matches(block) == want
 
 
+def test_wrapped_license_notices(spark):
+    texts = [f"{words(70, 9)}\n# " + textwrap.fill(t, width).replace("\n", "\n# ") + f"\n{words(71, 9)}" for _, t in licenses.TEMPLATES for width in (30, 72)]
+    got = {r.doc_id: r for r in licenses.scan(documents(spark, texts)).collect()}
+    for i in range(len(texts)):
+        assert licenses.TEMPLATES[i // 2][0] in got[i].labels.split(",") and got[i].score == 1.0
+    r = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(12)]
+    templates = [(f"t{i}", " ".join(r.choices(vocabulary, k=r.randint(1, 14)))) for i in range(15)]
+    index = licenses.Index(templates, {w.encode(): r.randint(0, 9) for w in vocabulary})
+    for _ in range(300):
+        text = [w.encode() for w in r.choices([*vocabulary, "other", "more"], k=r.randint(0, 40))]
+        want = {}
+        for t, (_, template) in enumerate(templates):
+            s, n = {w.encode() for w in template.split()}, len(template.split())
+            best = max((len(s & set(text[i : i + n + n // 10])) for i in range(len(text))), default=0)
+            if best * licenses.DEN >= len(s) * licenses.NUM:
+                want[t] = best
+        assert index.across(text) == want
+
+
 def test_pipeline_stages_on_odd_rows(spark, odd, empty, labels, items, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     items.write.parquet(str(tmp_path / "benchmark.parquet"))
