@@ -38,6 +38,8 @@ CLOSES = {
     "option": frozenset({"option"}),
 }
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
+#: Of RAW, those that reach to the page's end where no end tag follows; the others nest and may be left open.
+TO_THE_END = frozenset("script style textarea title iframe".split())
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
 #: Elements nested deeper become siblings, as in browsers; their text stays.
@@ -63,6 +65,7 @@ def parse(html: str) -> Node:
     """The element tree; unclosed and stray tags are taken as browsers mostly take them."""
     root = node = Node("html", "", None)
     at, n = 0, len(html)
+    ends: dict[str, dict[int, int]] = {}
     while at < n:
         m = _TOKEN.search(html, at)
         if m is None:
@@ -93,14 +96,30 @@ def parse(html: str) -> Node:
                 break
         new = Node(tag, m[3] or "", node)
         node.children.append(new)
-        if tag in RAW:
+        if tag in TO_THE_END:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = end.end() if end else n
+        elif tag in RAW:
+            if tag not in ends:
+                ends[tag] = _ends(html, tag)
+            at = ends[tag].get(m.start(), at)  # self-closed or left open: it holds nothing
         elif tag not in VOID and not (m[3] or "").rstrip().endswith("/") and new.depth < DEEPEST:
             node = new
     return root
 
 
+def _ends(html: str, tag: str) -> dict[int, int]:
+    """Of all elements of a tag that are closed: where the start tag begins, and where the end tag of the same depth ends."""
+    found, open_ = {}, []
+    for m in re.finditer(rf"<(/?){tag}(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", html, re.I):
+        if not m[1]:
+            if not (tag in ("svg", "math") and m[2].rstrip().endswith("/")):
+                open_.append(m.start())
+        elif open_:
+            found[open_.pop()] = m.end()
+    return found
+
+
 def _crosses(node: Node, up: Node) -> bool:
     """Whether a block lies open between an inline element and its end tag."""
     while node is not up:

@@ -115,6 +115,18 @@ def test_pages(spark):
     assert html.extract(df.limit(0)).count() == 0
 
 
+def test_self_closed_and_unclosed_elements_keep_the_text_after_them():
+    def text(page):
+        return "".join(c for x in html.nodes_of(html.parse(page)) if x.tag not in html.RAW for c in x.children if isinstance(c, str))
+
+    for tag in ("<svg class='i'/>", "<math/>", "<object data=x>", "<select name=a>", "<canvas>", "<template>", "<noscript>"):
+        name = tag[1:].split()[0].strip("/>")
+        assert text(f"<p>one {tag} two</p><p>three</p>") == "one  twothree"
+        assert text(f"<p>one {tag} two <{name}>gone</{name}> three</p>") == "one  two  three"
+    assert text("<p>one <svg><svg>gone</svg>gone</svg> two</p>") == "one  two"
+    assert text("<p>one</p><script>gone <p>gone") == "one"
+
+
 def test_pages_of_practice_layouts():
     model = html.trained()
     wrong = sum(html.main_text(page, model) != want for page, want in html.practice_pages(150, seed=4242))
