@@ -12,6 +12,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -176,17 +177,18 @@ def features(nodes: list[Node]) -> np.ndarray:
     out = np.zeros((len(nodes), N_FEATURES))
     number = {id(x): i for i, x in enumerate(nodes)}
     inherited = np.zeros((len(nodes), 3))
+    by_tag = {id(x): Counter(c.tag for c in x.children if isinstance(c, Node)) for x in nodes}
     for i, x in enumerate(nodes):
         main, rest = _marks(x.tag, x.attrs)
         up = number[id(x.parent)] if x.parent else -1
         above = inherited[up] if up >= 0 else np.zeros(3)
         inherited[i] = (above[0] + main, above[1] + rest, above[2] + (x.tag in ("a", "li")))
-        siblings = [c for c in x.parent.children if isinstance(c, Node)] if x.parent and len(x.parent.children) < 200 else []
-        same = sum(c.tag == x.tag for c in siblings)
+        siblings = by_tag[id(x.parent)].total() if x.parent else 0
+        same = by_tag[id(x.parent)][x.tag] if x.parent else 0
         chars = x.chars
         out[i, :20] = (
             np.log1p(chars), chars / total, x.link_chars / (chars + 1), chars / (x.tags + 1), x.stops / (chars + 1) * 100, np.log1p(x.paragraphs),
-            np.log1p(x.tags), x.depth, main, rest, above[0], above[1], above[2], len(siblings), same,
+            np.log1p(x.tags), x.depth, main, rest, above[0], above[1], above[2], siblings, same,
             chars / (x.parent.chars + 1) if x.parent else 1, x.parent.link_chars / (x.parent.chars + 1) if x.parent else 0,
             np.log1p(x.parent.chars) if x.parent else 0, np.log1p(x.stops), x.tag in RAW,
         )

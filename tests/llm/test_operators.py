@@ -127,6 +127,15 @@ def test_self_closed_and_unclosed_elements_keep_the_text_after_them():
     assert text("<p>one</p><script>gone <p>gone") == "one"
 
 
+def test_sibling_statistics_at_every_size():
+    for n in (3, 150, 400):
+        nodes = html.nodes_of(html.parse("<div>" + "<p>x</p> " * n + "<ul></ul></div>"))
+        rows = html.features(nodes)
+        for x, row in zip(nodes, rows, strict=True):
+            if x.tag in ("p", "ul"):
+                assert (row[13], row[14]) == (n + 1, n if x.tag == "p" else 1)
+
+
 def test_pages_of_practice_layouts():
     model = html.trained()
     wrong = sum(html.main_text(page, model) != want for page, want in html.practice_pages(150, seed=4242))
