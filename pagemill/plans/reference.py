@@ -318,6 +318,14 @@ def stem_pairs(spark, sf):
     return records.stem_pairs(a, b, "image", "script").select("stem", "matched")
 
 
+@query()
+def stem_pairs_all(spark, sf):
+    """As stem_pairs, of all documents."""
+    a = t(spark, sf, "benchmark").select(F.concat(F.lit("x/"), F.col("item_id"), F.lit(".jpg")).alias("image"))
+    b = t(spark, sf, "documents").select(F.concat(F.lit("y/"), F.col("doc_id"), F.lit(".txt")).alias("script"))
+    return records.stem_pairs(a, b, "image", "script").select("stem", "matched")
+
+
 @query("SELECT conv_id, turn, 'User: Answer briefly. <image> OCR this image accurately.<end_of_utterance>' || chr(10) || 'Assistant: ' || text || '<end_of_utterance>' AS rendered FROM conversations")
 def chat_messages(spark, sf):
     c = t(spark, sf, "conversations")

@@ -35,6 +35,13 @@ def test_query(spark, duck, name):
     assert _rows(df.select(*names).collect()) == _rows(want)
 
 
+def test_all_documents_are_paired(spark):
+    items = {str(r.item_id) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    docs = {str(r.doc_id) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = [(r.stem, r.matched) for r in reference.QUERIES["stem_pairs_all"](spark, SF).select("stem", "matched").collect()]
+    assert sorted(got) == sorted((x, x in items and x in docs) for x in items | docs)
+
+
 def test_library_does_not_need_the_llm_folder():
     for p in glob.glob(os.path.join(os.path.dirname(reference.__file__), "..", "**", "*.py"), recursive=True):
         if f"{os.sep}llm{os.sep}" not in p:
