@@ -188,6 +188,14 @@ def paginate_source(spark, sf):
     return back.select("doc_id", F.md5(F.array_join(words(F.col("text")), " ").cast("binary")).alias("digest"))
 
 
+@query()
+def paginate_source_all(spark, sf):
+    """As paginate_source, of all texts: the words of all chunks and pages in order."""
+    laid = _pages(spark, sf, "source")
+    back = laid.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk_ix", "page_ix", "text"))), lambda x: x["text"]), "\n").alias("text"))
+    return back.select("doc_id", F.md5(F.array_join(words(F.col("text")), " ").cast("binary")).alias("digest"))
+
+
 def _rgb_sql(ident: str) -> str:
     return ", ".join(f"CAST({sql_hash(f'{ident} || {chr(39)}:{x}{chr(39)}')} % {hi - lo + 1} + {lo} AS INTEGER) AS {x}" for x, (lo, hi) in pages.BACKGROUND.items())
 
