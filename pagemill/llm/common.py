@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -143,7 +144,7 @@ def words(raw: np.ndarray, offsets: np.ndarray, is_gap: np.ndarray = IS_SPACE) -
     after = np.ones(n, bool)
     after[:-1] = before[1:] | gap[1:]
     end = np.flatnonzero(~gap & after) + 1
-    return start, end, np.searchsorted(offsets, start, "right") - 1
+    return start, end, np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(start, offsets)))
 
 
 def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -154,6 +155,45 @@ def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mixed((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
+_K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
+def word_keys(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits that stand for each word's bytes: two independent chains of a mixing bijection over blocks of 8 bytes."""
+    size = (end - start).astype(np.uint64)
+    a, b = mixed(size * _K1), mixed(size * _K2 + np.uint64(1))
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    blocks = np.ndarray((len(raw) + 1,), "<u8", padded.data, strides=(1,))
+    open_ = np.flatnonzero(end - start <= LONG_WORD)
+    at = start[open_]
+    while len(open_):
+        left = np.minimum(end[open_] - at, 8).astype(np.uint64)
+        block = blocks[at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left))
+        a[open_], b[open_] = mixed(a[open_] ^ block), mixed((b[open_] + block) * _K2)
+        more = end[open_] - at > 8
+        open_, at = open_[more], at[more] + 8
+    for i in np.flatnonzero(end - start > LONG_WORD):
+        whole = np.frombuffer(xxhash.xxh3_128_digest(raw[start[i] : end[i]].tobytes()), "<u8")
+        a[i], b[i] = whole
+    return a, b
+
+
+def distinct_keys(a: np.ndarray, b: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, edge): sorted by (more, a, b), equal keys stand together, the first of each at an edge."""
+    order = np.lexsort((a, *more)) if more else np.argsort(a)
+    keys = [x[order] for x in (a, *more)]
+    new = np.ones(len(a), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    other = b[order]
+    if ((other[1:] != other[:-1]) & ~new[1:]).any():  # two words that share the first half of their keys
+        order = np.lexsort((b, a, *more))
+        keys = [x[order] for x in (a, b, *more)]
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return order, np.flatnonzero(new)
+
+
 def shingle_hashes(h: np.ndarray, text: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, index of the first word) of every k words that stand in one text."""
     if len(h) < k:

@@ -1,13 +1,17 @@
 """Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class). The class is chosen by a softmax over hashed features of the history:
-the word before, the word before that (a skip feature), and the pair of their classes. A word's share of its class is its
-count plus one over the class's. The most frequent words are classes of their own; the others are classed by their endings,
-and endings are clustered by the frequent words they share documents with.
-
-Spark counts all training words by a 64-bit hash. The weights are trained by distributed gradient updates: in each round every
-task runs over its part of that round's documents (each training document belongs to one round), starting from the common
-weights, and the weights are averaged by the words seen. Scoring runs over sparse batches in numpy.
+P(word | history) = P(class | history) * P(cell | class, history) * P(word | cell). The class is chosen by a softmax over hashed
+features of the history: the word before, the word before that (a skip feature), and the pair of their classes. The most
+frequent words are classes of their own; the others are classed by their endings, and endings are clustered by the frequent
+words they share documents with. Such a class is parted into cells by a hash of the word, and a second softmax chooses the cell
+by the class with the word before, and by the class with the word before that. A word's share of its cell is its count plus
+one over the cell's.
+
+Words are told apart by 128 bits, and Spark counts them by these. The weights are trained by distributed gradient updates: a
+training document belongs to one round and one part, by hashes; the number of parts follows from the number of tokens. Each
+part starts from the common weights, and the weights are averaged by the tokens seen, so neither cores nor partitions change a
+score. Texts are read as words three times (counts, endings, features); the rounds and the scores read the features, four
+bytes a token.
 
 Counts are looked up in two ways. Words that make up 2**-20 or more of all words are at most 2**20, so their counts are
 broadcast; all others meet the count table in a shuffle join, in which no key can be hot.
@@ -22,98 +26,108 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import LOWER, base_columns, crc_mod, cut, mixed, small_batches, table, utf8, word_hashes, words
+from pagemill.llm.common import LOWER, base_columns, crc_mod, cut, distinct_keys, mixed, small_batches, table, utf8, word_keys, words
 
 #: Words whose counts are broadcast have at least this share of all words.
 HEAD = 2.0**-20
-#: Classes of single words, classes of endings, hashed endings, hashed rows of each feature.
-TOP, CLUSTERS, ENDINGS, ROWS = 31, 32, 1024, 4096
+#: Classes of single words, classes of endings, hashed endings, hashed rows of each feature, cells of a class.
+TOP, CLUSTERS, ENDINGS, ROWS, CELLS = 31, 32, 1024, 4096, 32
 CLASSES = TOP + 1 + CLUSTERS
-END = np.uint64(0x5851F42D4C957F2D)
+END = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)
 START_CLASS = CLASSES
 ROUNDS, MINIBATCH, STEP, DAMP = 2, 4096, 2.0, 5.0
-#: Rows of a weight table: two hashed words, pairs of classes (the text's start included), and the bias.
+#: Training tokens of a part, about.
+PART = 1 << 21
+#: Rows of the weight table of classes: two hashed words, pairs of classes (the text's start included).
 PAIR = 2 * ROWS
-WEIGHTS = PAIR + (CLASSES + 1) ** 2 + 1
+WEIGHTS = PAIR + (CLASSES + 1) ** 2
+#: Rows of the weight table of cells: two hashed pairs of a word and a class, and the class.
+CELL_WEIGHTS = 2 * ROWS + CLASSES
+#: Sums over texts are of whole numbers, so that their order plays no role.
+UNIT = 1 << 20
 
 
-def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, ending, text) of all tokens of a batch of texts, each text's end included."""
+def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, its second half, ending, text) of all tokens of a batch of texts, each text's end included."""
     raw, off = utf8(column)
     raw = LOWER[raw]
     start, end, of = words(raw, off)
-    h = word_hashes(raw, start, end)
-    tail = np.zeros(len(h), np.uint64)
+    a, b = word_keys(raw, start, end)
+    tail = np.zeros(len(a), np.uint64)
     for k in (1, 2, 3):
         at = end - k
         tail = tail * np.uint64(257) + np.where(at >= start, raw[np.maximum(at, 0)], 0).astype(np.uint64)
     ending = (mixed(tail) >> np.uint64(54)).astype(np.int64)
     n = len(off) - 1
     size = np.bincount(of, minlength=n)
-    place = np.arange(len(h)) + of
-    stop = np.cumsum(size + 1) - 1
-    out_h, out_e = np.full(len(h) + n, END), np.zeros(len(h) + n, np.int64)
-    out_h[place], out_e[place] = h, ending
-    assert n == 0 or stop[-1] == len(out_h) - 1
-    return out_h, out_e, np.repeat(np.arange(n), size + 1)
+    place = np.arange(len(a)) + of
+    out_a, out_b, out_e = np.full(len(a) + n, END[0]), np.full(len(a) + n, END[1]), np.zeros(len(a) + n, np.int64)
+    out_a[place], out_b[place], out_e[place] = a, b, ending
+    return out_a, out_b, out_e, np.repeat(np.arange(n), size + 1)
+
+
+def _cell(a: np.ndarray) -> np.ndarray:
+    return (a >> np.uint64(20)).astype(np.int64) % CELLS
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    h, e, n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    """text -> (a, b, e, n): tokens by key, with their ending."""
+    kinds = (np.uint64, np.uint64, np.int64, np.int64)
+    known = [np.zeros(0, t) for t in kinds]
+    held: list[tuple[np.ndarray, ...]] = []
 
     def fold() -> None:
-        nonlocal h, e, n
-        new = [x for x, _ in held]
-        all_h = np.concatenate([h, *new])
-        all_n = np.concatenate([n, np.ones(sum(map(len, new)), np.int64)])
-        all_e = np.concatenate([e, *(x for _, x in held)])
-        h, first, at = np.unique(all_h, return_index=True, return_inverse=True)
-        n, e = np.bincount(at, all_n, len(h)).astype(np.int64), all_e[first]
+        nonlocal known
+        a, b, e, n = (np.concatenate(x) for x in zip(known, *held, strict=True))
+        order, edge = distinct_keys(a, b)
+        first = order[edge]
+        known = [a[first], b[first], e[first], np.add.reduceat(n[order], edge) if len(edge) else n]
         held.clear()
 
     def rows() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(e.astype(np.int32)), pa.array(n)], ["h", "e", "n"])
+        a, b, e, n = known
+        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(e.astype(np.int32)), pa.array(n)], ["a", "b", "e", "n"])
 
-    for b in batches:
-        x, y, _ = tokens(b.column(0))
-        held.append((x, y))
-        if sum(len(x) for x, _ in held) > 2_000_000:
+    for batch in batches:
+        a, b, e, _ = tokens(batch.column(0))
+        held.append((a, b, e, np.ones(len(a), np.int64)))
+        if sum(len(x[0]) for x in held) > 1_000_000:
             fold()
-            if len(h) > 2_000_000:  # what a task holds stays bounded
+            if len(known[0]) > 2_000_000:  # what a task holds stays bounded
                 yield rows()
-                h, e, n = h[:0], e[:0], n[:0]
+                known = [np.zeros(0, t) for t in kinds]
     if held:
         fold()
     yield rows()
 
 
 class Classes:
-    """Classes of words: of their own (sorted hashes), or by the cluster of their ending."""
+    """Classes of words: of their own (sorted keys), or by the cluster of their ending."""
 
     def __init__(self, top: np.ndarray, cluster: np.ndarray):
         self.top, self.cluster = np.sort(top), cluster
 
-    def of(self, h: np.ndarray, ending: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.top, h), len(self.top) - 1)
-        return np.where(self.top[at] == h, at, TOP + 1 + self.cluster[ending])
+    def of(self, a: np.ndarray, ending: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.top, a), len(self.top) - 1)
+        return np.where(self.top[at] == a, at, TOP + 1 + self.cluster[ending])
 
 
 def _shared(top: np.ndarray):
-    """By ending: how often its words stand in a text with each frequent word."""
+    """By ending: how often its words stand in a text with each frequent word, in units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((ENDINGS, len(top)))
+        total = np.zeros((ENDINGS, len(top)), np.int64)
         for b in batches:
-            h, e, of = tokens(b.column(0))
+            h, _, e, of = tokens(b.column(0))
             at = np.minimum(np.searchsorted(top, h), len(top) - 1)
             hit = top[at] == h
             n = b.num_rows
             share = np.bincount(of[hit] * len(top) + at[hit], minlength=n * len(top)).reshape(n, -1).astype(float)
-            share /= np.maximum(share.sum(1, keepdims=True), 1)
-            key, count = np.unique(of[~hit] * ENDINGS + e[~hit], return_counts=True)
-            np.add.at(total, key % ENDINGS, share[key // ENDINGS] * count[:, None])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(ENDINGS, dtype=np.int32)), pa.array(list(total), pa.list_(pa.float64()))], ["e", "v"])
+            share = np.rint(share / np.maximum(share.sum(1, keepdims=True), 1) * UNIT).astype(np.int64)
+            count = np.bincount(of[~hit] * ENDINGS + e[~hit], minlength=n * ENDINGS).reshape(n, ENDINGS)
+            total += (count.T.astype(float) @ share.astype(float)).astype(np.int64)  # whole numbers below 2**53: exact
+        some = np.flatnonzero(total.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(list(total[some]), pa.list_(pa.int64()))], ["e", "v"])
 
     return run
 
@@ -134,160 +148,273 @@ def clustered(x: np.ndarray, k: int, rounds: int = 25) -> np.ndarray:
     return label
 
 
-def _history(h: np.ndarray, c: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """The three rows of the weight table that speak for each token."""
-    n = len(h)
-    one, two = np.full(n, np.uint64(1)), np.full(n, np.uint64(2))
-    c1, c2 = np.full(n, START_CLASS), np.full(n, START_CLASS)
-    same1, same2 = np.flatnonzero(of[1:] == of[:-1]) + 1, np.flatnonzero(of[2:] == of[:-2]) + 2
-    one[same1], c1[same1] = h[same1 - 1], c[same1 - 1]
-    two[same2], c2[same2] = h[same2 - 2], c[same2 - 2]
-    row = lambda x: (mixed(x) >> np.uint64(52)).astype(np.int64)
-    return np.stack([row(one), ROWS + row(two), PAIR + c1 * (CLASSES + 1) + c2])
-
-
-def _shares(w: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """P(class | history) for each token."""
-    z = w[rows[0]] + w[rows[1]] + w[rows[2]] + w[-1]
-    z -= z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
-    return z
-
+def packed(classes: Classes, a: np.ndarray, ending: np.ndarray) -> np.ndarray:
+    """A token's features in four bytes: class, cell, hashed row."""
+    c = classes.of(a, ending).astype(np.uint32)
+    row = (mixed(a) >> np.uint64(52)).astype(np.uint32)
+    return c | _cell(a).astype(np.uint32) << np.uint32(8) | row << np.uint32(16)
+
+
+def history(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of packed tokens, given which of them begin a text: (class, its rows of weights, tokens of classes with cells, cells of
+    these, their rows of weights)."""
+    c, row = (x & np.uint32(255)).astype(np.int32), (x >> np.uint32(16)).astype(np.int32)
+    n = len(x)
+    one, two, c1, c2 = (np.full(n, v, np.int32) for v in (1, 2, START_CLASS, START_CLASS))
+    one[1:], c1[1:] = row[:-1], c[:-1]
+    one[first], c1[first] = 1, START_CLASS
+    two[2:], c2[2:] = row[:-2], c[:-2]
+    for at in (first, first + 1):
+        at = at[at < n]
+        two[at], c2[at] = 2, START_CLASS
+    rows = np.stack([one, ROWS + two, PAIR + c1 * (CLASSES + 1) + c2])
+    inner = np.flatnonzero(c > TOP)
+    k = c[inner]
+    both = lambda w, salt: ((w[inner].astype(np.uint64) << np.uint64(8) | k.astype(np.uint64)) * np.uint64(salt) >> np.uint64(52)).astype(np.int32)
+    cells = np.stack([both(one, 0x9E3779B97F4A7C15), ROWS + both(two, 0xD6E8FEB86659FD93), 2 * ROWS + k])
+    return c, rows, inner, (x[inner] >> np.uint32(8) & np.uint32(255)).astype(np.int32), cells
+
+
+def _exps(w: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The summed weights of each token's rows, as exponentials; their sums. Only where these pass what the numbers hold, the
+    weights are taken below their greatest."""
+    z = w.take(rows[0], axis=0, mode="clip")
+    for r in rows[1:]:
+        z += w.take(r, axis=0, mode="clip")
+    with np.errstate(over="ignore", under="ignore"):
+        e = np.exp(z)
+        total = e @ np.ones(e.shape[1], e.dtype)
+    if not (np.isfinite(total) & (total > 1e-30)).all():
+        e = np.exp(z - z.max(1, keepdims=True))
+        total = e @ np.ones(e.shape[1], e.dtype)
+    return e, total
+
+
+def _row_sums(g: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, how often each stands in f, the sum of its rows of g). Rows that stand equally often are summed at once."""
+    by_row = np.argsort(f.astype(np.uint16), kind="stable")
+    times = np.bincount(f)[f[by_row]]
+    by_times = np.argsort(times.astype(np.uint16), kind="stable")
+    order, times = by_row[by_times], times[by_times]
+    g = g.take(order, axis=0)
+    edge = np.flatnonzero(np.append(True, times[1:] != times[:-1])).tolist()
+    rows, n, sums = [], [], []
+    for a, b in zip(edge, [*edge[1:], len(f)], strict=True):
+        k = int(times[a])
+        rows.append(order[a:b:k])
+        n.append(times[a:b:k])
+        sums.append(g[a:b] if k == 1 else g[a:b].reshape(-1, k, g.shape[1]).sum(1))
+    return f[np.concatenate(rows)], np.concatenate(n), np.concatenate(sums)
+
+
+def _steps(w: np.ndarray, rows: np.ndarray, y: np.ndarray) -> None:
+    """Gradient updates of w over minibatches of tokens, in place: each row moves by its mean gradient, damped where it is rare."""
+    for i in range(0, len(y), MINIBATCH):
+        r, t = rows[:, i : i + MINIBATCH], y[i : i + MINIBATCH]
+        g, total = _exps(w, r)
+        g *= (-1 / total)[:, None]
+        g[np.arange(len(t)), t] += 1
+        for f in r:
+            own, n, move = _row_sums(g, f)
+            move *= (STEP / (n + DAMP)).astype(np.float32)[:, None]
+            move += w.take(own, axis=0, mode="clip")
+            w[own] = move
+
+
+def _learn(w: np.ndarray, v: np.ndarray):
+    """(part, x) of one round, sorted by part -> (part, table, row, move): how far each part moves each row of weights, times the
+    tokens it saw. Row -1: those tokens."""
+
+    def moves(part: int, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        size = np.fromiter(map(len, held), np.int64, len(held))
+        c, rows, _, cell, cells = history(np.concatenate(held), (np.cumsum(size) - size)[size > 0])
+        for number, (old, f, y) in enumerate(((w, rows, c), (v, cells, cell))):
+            mine = old.copy()
+            _steps(mine, f, y)
+            changed = np.flatnonzero((mine != old).any(1))
+            for i in range(0, len(changed), 4096):
+                k = changed[i : i + 4096]
+                move = (mine[k] - old[k]) * np.float32(len(c))
+                yield row_batch([part] * len(k), [number] * len(k), k, [m.tobytes() for m in move])
+        yield row_batch([part], [0], [-1], [np.array([len(c)], np.float64).tobytes()])
 
-def _learn(w: np.ndarray, classes: Classes):
-    """One task's part of a round: weights after its documents, times the tokens seen, row by row."""
+    def row_batch(part, number, row, move) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(number, pa.int32()), pa.array(row, pa.int32()), pa.array(move, pa.binary())], ["part", "number", "row", "move"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine, seen = w.copy(), 0
+        now, held = None, []
         for b in batches:
-            h, e, of = tokens(b.column(0))
-            c = classes.of(h, e)
-            rows = _history(h, c, of)
-            for i in range(0, len(h), MINIBATCH):
-                r, y = rows[:, i : i + MINIBATCH], c[i : i + MINIBATCH]
-                g = -_shares(mine, r)
-                g[np.arange(len(y)), y] += 1
-                for f in r:
-                    order = np.argsort(f, kind="stable")
-                    own = f[order]
-                    edge = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-                    n = np.diff(np.append(edge, len(own)))
-                    mine[own[edge]] += (STEP / (n + DAMP))[:, None].astype(np.float32) * np.add.reduceat(g[order], edge, axis=0)
-                seen += len(y)
-        if seen:
-            changed = np.flatnonzero((mine != w).any(1))
-            for i in range(0, len(changed), 4096):
-                part = changed[i : i + 4096]
-                move = (mine[part] - w[part]) * np.float32(seen)
-                yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array([v.tobytes() for v in move], pa.binary())], ["row", "move"])
-            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([np.array([seen], np.float64).tobytes()], pa.binary())], ["row", "move"])
+            for part, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if part != now and held:
+                    yield from moves(now, held)
+                    held = []
+                now = part
+                held.append(np.frombuffer(x.as_buffer(), np.uint32))
+        if held:
+            yield from moves(now, held)
 
     return run
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the moves by row; a task holds each row once."""
-    total: dict[int, np.ndarray] = {}
+    """Sums of the moves by table and row, in the order of parts; a task holds each row once."""
+    total: dict[tuple[int, int], np.ndarray] = {}
     for b in batches:
-        for row, move in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            v = np.frombuffer(move, np.float64 if row < 0 else np.float32).astype(np.float64)
-            total[row] = total[row] + v if row in total else v
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], ["row", "move"])
+        for number, row, move in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            x = np.frombuffer(move, np.float64 if row < 0 else np.float32).astype(np.float64)
+            total[number, row] = total[number, row] + x if (number, row) in total else x
+    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in total], pa.int32()), pa.array([k for _, k in total], pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["number", "row", "move"])
+
+
+class Counts:
+    """The counts of frequent words, by key; `odd` are first halves of keys that two of them share: left to the join."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, c: np.ndarray):
+        order = np.argsort(a)
+        a, b, c = a[order], b[order], c[order]
+        twice = np.zeros(len(a), bool)
+        twice[1:] = a[1:] == a[:-1]
+        self.odd = np.unique(a[twice])
+        good = ~np.isin(a, self.odd)
+        self.a, self.b, self.c = a[good], b[good], c[good]
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether known here, count)."""
+        if not len(self.a):
+            return np.zeros(len(a), bool), np.zeros(len(a), np.int64)
+        at = np.minimum(np.searchsorted(self.a, a), len(self.a) - 1)
+        hit = (self.a[at] == a) & (self.b[at] == b)
+        return hit, np.where(hit, self.c[at], 0)
 
 
 class Model:
-    def __init__(self, classes: Classes, w: np.ndarray, sizes: np.ndarray, head: np.ndarray, counts: np.ndarray):
-        self.classes, self.w, self.sizes, self.head, self.counts = classes, w, sizes, head, counts
+    """Classes, the summed counts of each class and cell (one for each word and one for unknown words included), frequent words."""
+
+    def __init__(self, classes: Classes, sizes: np.ndarray, counts: Counts):
+        self.classes, self.sizes, self.counts = classes, sizes, counts
 
 
-def train(texts: DataFrame) -> tuple[Model, DataFrame, int, int]:
-    """texts (text, round) -> the model, the count table (h, c), all tokens and distinct ones."""
-    spark = texts.sparkSession
-    only = texts.select("text")
-    counts = cut(only.mapInArrow(_count, "h long, e int, n long").groupBy("h").agg(F.min("e").alias("e"), F.sum("n").alias("c")))
+def shape(texts: DataFrame) -> tuple[Model, DataFrame, int, int]:
+    """texts (text) -> the model without its weights, the count table (a, b, e, c), all tokens and distinct ones."""
+    counts = cut(texts.mapInArrow(_count, "a long, b long, e int, n long").groupBy("a", "b").agg(F.min("e").alias("e"), F.sum("n").alias("c")))
     total, distinct = counts.agg(F.sum("c"), F.count("*")).first()
     total = total or 0
-    head = counts.where(F.col("c") >= max(1.0, total * HEAD)).select("h", "c").toPandas()
-    known, known_c = head["h"].to_numpy(np.int64).view(np.uint64), head["c"].to_numpy(np.int64)
-    order = np.argsort(known)
-    known, known_c = known[order], known_c[order]
-    best = known[np.lexsort((known, -known_c))][:TOP]
-    top = np.sort(np.unique(np.append(best[best != END], END))[: TOP + 1])
-    parts = max(2, 2 * spark.sparkContext.defaultParallelism)
-    pair = only.coalesce(parts).mapInArrow(_shared(top), "e int, v array<double>")
-    sums = pair.select("e", F.posexplode("v").alias("i", "x")).groupBy("e", "i").agg(F.sum("x").alias("x")).collect()
+    head = counts.where(F.col("c") >= max(1.0, total * HEAD)).select("a", "b", "c").toPandas()
+    a, b = (head[x].to_numpy(np.int64).view(np.uint64) for x in "ab")
+    known = Counts(a, b, head["c"].to_numpy(np.int64))
+    best = known.a[np.lexsort((known.a, -known.c))][:TOP]
+    top = np.sort(np.unique(np.append(best[best != END[0]], END[0]))[: TOP + 1])
     x = np.zeros((ENDINGS, len(top)))
-    for r in sums:
-        x[r.e, r.i] = r.x
+    pairs = texts.mapInArrow(_shared(top), "e int, v array<bigint>").select("e", F.posexplode("v").alias("i", "x"))
+    for r in pairs.groupBy("e", "i").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x")).collect():
+        x[r.e, r.i] = float(r.x)
     classes = Classes(top, clustered(np.sqrt(x), CLUSTERS))
-    # what each class's words add up to, one for each word and one for unknown words included
-    single = F.col("h").isin([int(v) for v in top.view(np.int64)])
-    sizes = np.ones(CLASSES)
-    for r in counts.where(~single).groupBy("e").agg(F.sum(F.col("c") + 1).alias("s")).collect():
-        sizes[TOP + 1 + classes.cluster[r.e]] += r.s
-    at = np.searchsorted(known, top)
-    own = np.where((at < len(known)) & (known[np.minimum(at, max(len(known) - 1, 0))] == top), known_c[np.minimum(at, max(len(known) - 1, 0))], 0) if len(known) else np.zeros(len(top))
-    sizes[: len(top)] = own + 1
-    w = np.zeros((WEIGHTS, CLASSES), np.float32)
-    w[-1] = np.log(sizes / sizes.sum())
-    for r in range(ROUNDS):
-        moves = texts.where(F.col("round") == r).select("text").coalesce(parts).mapInArrow(_learn(w, classes), "row int, move binary")
-        rows = moves.repartition(parts, "row").mapInArrow(_added, "row int, move binary").collect()
-        seen = next((np.frombuffer(bytes(x.move))[0] for x in rows if x.row == -1), 0)
-        for x in rows:
+    single = F.col("a").isin([int(k) for k in top.view(np.int64)])
+    sizes = np.ones((CLASSES, CELLS))
+    cell = F.pmod(F.shiftrightunsigned("a", 20), F.lit(CELLS)).alias("cell")
+    for r in counts.where(~single).groupBy("e", cell).agg(F.sum(F.col("c") + 1).alias("s")).collect():
+        sizes[TOP + 1 + classes.cluster[r.e], r.cell] += r.s
+    sizes[: TOP + 1] = 0
+    for r in counts.where(single).groupBy("a").agg(F.sum("c").alias("s")).collect():
+        sizes[np.searchsorted(top, np.array([r.a], np.int64).view(np.uint64)[0]), 0] = r.s
+    sizes[: len(top), 0] += 1
+    return Model(classes, sizes, known), counts, total, distinct
+
+
+def _features(held, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, held_out, round, h, text -> the first four, tokens, known ones, log10 counts of these, packed tokens, and the rest."""
+    m = held.value
+    for batch in batches:
+        a, b, e, of = tokens(batch.column(4))
+        n = batch.num_rows
+        x = packed(m.classes, a, e)
+        hit, c = m.counts.of(a, b)
+        logs = np.where(hit, np.log10(c + 1.0), 0.0)
+        a, b, rare = a[~hit], b[~hit], of[~hit]
+        order, edge = distinct_keys(a, b, rare)
+        times = np.diff(np.append(edge, len(order)))
+        at = order[edge]
+        bounds = np.searchsorted(rare[at], np.arange(n + 1)).astype(np.int32)
+        words_ = pa.StructArray.from_arrays([pa.array(a[at].view(np.int64)), pa.array(b[at].view(np.int64)), pa.array(times.astype(np.int64))], ["a", "b", "n"])
+        size = np.bincount(of, minlength=n)
+        edges = np.append(0, np.cumsum(size * 4)).astype(np.int64)
+        binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(x.tobytes())]).cast(pa.binary())
+        arrays = [pa.array(size.astype(np.int64)), pa.array(np.bincount(of, hit, n).astype(np.int64)), pa.array(np.bincount(of, logs, n)), binary, pa.ListArray.from_arrays(pa.array(bounds), words_)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], *arrays], ["doc_id", "held_out", "round", "h", "n_tokens", "known", "logs", "x", "rare"])
+
+
+SCHEMA = "doc_id long, held_out boolean, round int, h long, n_tokens long, known long, logs double, x binary, rare array<struct<a:bigint,b:bigint,n:bigint>>"
+
+
+def weights(rows: DataFrame, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """rows (held_out, round, h, n_tokens, x), training ones -> the weight tables of classes and of cells."""
+    spark = rows.sparkSession
+    w, v = np.zeros((WEIGHTS, CLASSES), np.float32), np.zeros((CELL_WEIGHTS, CELLS), np.float32)
+    per = sizes.sum(1)
+    w[PAIR:] = np.log(np.maximum(per, 1e-9) / per.sum())
+    v[2 * ROWS :] = np.log(np.maximum(sizes, 1e-9) / np.maximum(per, 1e-9)[:, None])
+    shuffles = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = {r["round"]: r.n for r in rows.groupBy("round").agg(F.sum("n_tokens").alias("n")).collect()}
+    for r in sorted(found):
+        parts = -(-found[r] // PART)
+        dealt = rows.where(F.col("round") == r).select(F.pmod("h", F.lit(parts)).cast("int").alias("part"), "h", "x").repartition(parts, "part").sortWithinPartitions("part", "h", "x")
+        moves = dealt.select("part", "x").mapInArrow(_learn(w, v), "part int, number int, row int, move binary")
+        summed = moves.repartition(shuffles, "number", "row").sortWithinPartitions("part").mapInArrow(_added, "number int, row int, move binary").collect()
+        seen = sum(np.frombuffer(bytes(x.move))[0] for x in summed if x.row < 0)
+        for x in summed:
             if x.row >= 0:
-                w[x.row] += (np.frombuffer(bytes(x.move)) / seen).astype(np.float32)
-    return Model(classes, w, sizes, known, known_c), counts, total, distinct
+                (v if x.number else w)[x.row] += (np.frombuffer(bytes(x.move)) / seen).astype(np.float32)
+    return w, v
 
 
 def _score(held, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, held_out, text -> doc_id, held_out, tokens, head tokens, their log10 counts, the class part, and the rare words."""
-    m = held.value
-    size = np.log10(m.sizes)
+    """x and any more -> those, and log10 of the classes, the cells and the cells' sizes of all its tokens."""
+    w, v, sizes = held.value
+    with np.errstate(divide="ignore"):
+        size = np.log10(sizes)
     for b in batches:
-        h, e, of = tokens(b.column(2))
-        n = b.num_rows
-        c = m.classes.of(h, e)
-        rows = _history(h, c, of)
-        part = -size[c]
-        for i in range(0, len(h), 1 << 15):
-            j = slice(i, i + (1 << 15))
-            p = _shares(m.w, rows[:, j])
-            part[j] += np.log10(np.maximum(p[np.arange(len(p)), c[j]], 1e-30))
-        at = np.minimum(np.searchsorted(m.head, h), max(len(m.head) - 1, 0))
-        hit = m.head[at] == h if len(m.head) else np.zeros(len(h), bool)
-        logs = np.where(hit, np.log10(m.counts[at] + 1.0), 0.0) if len(m.head) else np.zeros(len(h))
-        rare_h, rare_of = h[~hit], of[~hit]
-        order = np.lexsort((rare_h, rare_of))
-        rare_h, rare_of = rare_h[order], rare_of[order]
-        edge = np.flatnonzero(np.append(True, (rare_h[1:] != rare_h[:-1]) | (rare_of[1:] != rare_of[:-1]))) if len(rare_h) else np.zeros(0, np.int64)
-        times = np.diff(np.append(edge, len(rare_h)))
-        bounds = np.searchsorted(rare_of[edge], np.arange(n + 1)).astype(np.int32)
-        rare = pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays([pa.array(rare_h[edge].view(np.int64)), pa.array(times.astype(np.int64))], ["h", "n"]))
-        sums = [np.bincount(of, x, n) for x in (np.ones(len(h)), hit, logs, part)]
-        arrays = [pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(sums[2]), pa.array(sums[3]), rare]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *arrays], ["doc_id", "held_out", "n_tokens", "known", "logs", "classes", "rare"])
-
-
-SCHEMA = "doc_id long, held_out boolean, n_tokens long, known long, logs double, classes double, rare array<struct<h:bigint,n:bigint>>"
+        texts = [np.frombuffer(x.as_buffer(), np.uint32) for x in b.column(0)]
+        n = np.fromiter(map(len, texts), np.int64, len(texts))
+        if not len(texts):
+            continue
+        of = np.repeat(np.arange(len(texts)), n)
+        c, rows, inner, cell, cells = history(np.concatenate(texts), np.cumsum(n) - n)
+        part = np.zeros(len(c))
+        for table_, r, y, at in ((w, rows, c, slice(None)), (v, cells, cell, inner)):
+            logs = np.empty(len(y))
+            for i in range(0, len(y), MINIBATCH):
+                j = slice(i, i + MINIBATCH)
+                e, total = _exps(table_, r[:, j])
+                logs[j] = np.log10(np.maximum(e[np.arange(len(e)), y[j]] / total, 1e-30))
+            part[at] += logs
+        place = np.zeros(len(c), np.int32)
+        place[inner] = cell
+        part -= size[c, place]
+        yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(np.bincount(of, part, len(texts)))], [*b.schema.names[1:], "classes"])
 
 
 def scored(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: a row for each row.
 
-    A null text is empty: its end is its only token. A null id counts as the empty text in the split.
+    A null text is empty: its end is its only token. A null id counts as the empty text in the split. Equal rows train as often
+    as they stand and score alike. With no training rows all counts are zero; an empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
-    docs = base_columns(docs, doc_id=F.col("doc_id").cast("long"), held_out=crc_mod(F.col("doc_id"), 7) == 2, text="text")
-    texts = docs.where(~F.col("held_out")).select("text", F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)).alias("round"))
-    model, counts, total, distinct = train(texts)
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    rows = cut(docs.mapInArrow(lambda batches: _score(held, batches), SCHEMA)).withColumn("row", F.monotonically_increasing_id())
-    rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.h", "r.n")
-    table_ = counts.where(F.col("c") < max(1.0, total * HEAD)).select(F.col("h").alias("k"), "c")
-    met = rare.join(table_, F.col("h") == F.col("k"), "left").groupBy("row").agg(F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("more"), F.sum(F.when(F.col("c").isNotNull(), F.col("n"))).alias("also"))
-    out = rows.drop("rare").join(met, "row", "left")
+    spark = docs.sparkSession
+    small_batches(spark)
+    h = F.xxhash64("doc_id", "text")
+    docs = base_columns(docs, doc_id=F.col("doc_id").cast("long"), held_out=crc_mod(F.col("doc_id"), 7) == 2, round=F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)).cast("int"), h=h, text="text")
+    model, counts, total, distinct = shape(docs.where(~F.col("held_out")).select("text"))
+    held = spark.sparkContext.broadcast(model)
+    rows = cut(docs.mapInArrow(lambda batches: _features(held, batches), SCHEMA)).withColumn("row", F.monotonically_increasing_id())
+    learned = spark.sparkContext.broadcast((*weights(rows.where(~F.col("held_out")), model.sizes), model.sizes))
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, classes double"
+    judged = rows.select("x", *(c.split()[0] for c in schema.split(", ")[:-1])).mapInArrow(lambda batches: _score(learned, batches), schema)
+    rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.a", "r.b", "r.n")
+    odd = F.col("a").isin([int(k) for k in model.counts.odd.view(np.int64)])
+    table_ = counts.where((F.col("c") < max(1.0, total * HEAD)) | odd).select("a", "b", "c")
+    more, also = F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more"), F.sum("n").alias("also")
+    met = rare.join(table_, ["a", "b"]).groupBy("row").agg(more, also)
+    out = judged.join(met, "row", "left")
     logs = F.col("logs") + F.coalesce("more", F.lit(0.0))
     known = (F.col("known") + F.coalesce("also", F.lit(0))).cast("long")
     base = logs - F.col("n_tokens") * F.lit(float(np.log10(total + distinct + 1)))

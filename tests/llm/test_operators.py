@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pagemill.llm import decontamination, html, licenses, lm, mixing, pii, quality, simhash, suffixes, toxicity
+from pagemill.llm import common
 from pagemill.llm.common import maybe_among
 from pagemill.llm.graph import components
 
@@ -172,6 +173,76 @@ def test_language_model(spark):
     assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
 
 
+def test_words_are_told_apart_by_their_bytes(spark):
+    def thue_morse(n):
+        return "".join("ab"[i.bit_count() % 2] for i in range(n))
+
+    word = thue_morse(1024)
+    other = word.translate(str.maketrans("ab", "ba"))  # equal under polynomial hashes modulo 2**64
+    pairs = [(word, other), (word[:200], other[:200]), ("a" * 8 + "b", "a" * 8 + "c"), ("ab", "ab\0"), ("x" * 300, "x" * 299 + "y")]
+    train = [i for i in range(40) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(40) if i not in train]
+    texts = {i: " ".join(a for a, _ in pairs) for i in train} | {i: " ".join(b for _, b in pairs) for i in held}
+    for row in lm.scored(documents(spark, [texts[i] for i in range(40)])).collect():
+        assert (row.n_tokens, row.n_known) == (6, 6 if row.doc_id in train else 1)
+
+
+def test_word_keys_whatever_stands_around():
+    r = random.Random(12)
+    seen = {}
+    for _ in range(40):
+        split = [bytes(r.choices(b"ab\xc3", k=r.choice((1, 2, 7, 8, 9, 16, 17, 255, 256, 257)))) for _ in range(30)]
+        raw = np.frombuffer(b" ".join(split), np.uint8)
+        start, end, _ = common.words(raw, np.array([0, len(raw)]))
+        for w, a, b in zip(split, *common.word_keys(raw, start, end), strict=True):
+            assert seen.setdefault(w, (int(a), int(b))) == (int(a), int(b))
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_equal_first_halves_of_keys_stay_apart():
+    a, b = np.array([5, 5, 1, 5, 5], np.uint64), np.array([1, 2, 3, 1, 2], np.uint64)
+    order, edge = common.distinct_keys(a, b)
+    assert len(edge) == 3 and np.diff(np.append(edge, 5)).tolist() == [1, 2, 2]
+    counts = lm.Counts(np.array([5, 5, 7], np.uint64), np.array([1, 2, 3], np.uint64), np.array([10, 20, 30]))
+    assert counts.odd.tolist() == [5] and counts.of(a, b)[0].sum() == 0
+
+
+def test_language_model_sums_to_one():
+    r = np.random.default_rng(0)
+    w, v = r.normal(size=(lm.WEIGHTS, lm.CLASSES)).astype(np.float32), r.normal(size=(lm.CELL_WEIGHTS, lm.CELLS)).astype(np.float32)
+    x = (r.integers(0, lm.CLASSES, 200) | r.integers(0, lm.CELLS, 200) << 8 | r.integers(0, lm.ROWS, 200) << 16).astype(np.uint32)
+    c, rows, inner, cell, cells = lm.history(x, np.array([0, 50]))
+    for table, f in ((w, rows), (v, cells)):
+        for scale in (1, 100):  # also beyond what a plain exponential holds
+            e, total = lm._exps(table * np.float32(scale), f)
+            assert np.allclose((e / total[:, None]).sum(1), 1, atol=1e-5)
+    assert (rows[:, [0, 50]] == rows[:, [0]]).all() and (inner == np.flatnonzero(c > lm.TOP)).all()
+
+
+def test_gradient_steps_are_sums_by_row():
+    r = np.random.default_rng(1)
+    rows, y = r.integers(0, 30, (3, 5000)) + np.array([[0], [40], [80]]), r.integers(0, 6, 5000)
+    w = r.normal(size=(120, 6)).astype(np.float32)
+    want = w.astype(float)
+    for i in range(0, 5000, lm.MINIBATCH):
+        f, t = rows[:, i : i + lm.MINIBATCH], y[i : i + lm.MINIBATCH]
+        z = want[f].sum(0)
+        g = np.eye(6)[t] - np.exp(z) / np.exp(z).sum(1, keepdims=True)
+        step = np.zeros_like(want)
+        np.add.at(step, f.ravel(), np.tile(g, (3, 1)))
+        n = np.bincount(f.ravel(), minlength=120)
+        want += lm.STEP / (n + lm.DAMP)[:, None] * step
+    lm._steps(w, rows, y)
+    assert np.allclose(w, want, atol=1e-3)
+
+
+def test_language_model_ignores_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PART", 2000)
+    df = documents(spark, [words(i % 7, 60) for i in range(120)])
+    a, b = (sorted(map(tuple, lm.scored(x).collect())) for x in (df.repartition(2), df.repartition(9)))
+    assert [x[:5] for x in a] == [x[:5] for x in b] and all(math.isclose(x[6], y[6], rel_tol=1e-6) for x, y in zip(a, b, strict=True))
+
+
 def brute_repeats(texts):
     count = Counter(x[i : i + 200] for x in texts for i in range(len(x) - 199))
     out = []
