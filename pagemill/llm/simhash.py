@@ -281,13 +281,14 @@ def simhash_classes(docs: DataFrame, k: int = 3, threshold: int = 3) -> DataFram
     return fps.join(known, F.col("fp") == F.col("point")).select("doc_id", "fp", "component_id")
 
 
-#: Of the near-duplicate stage: fingerprints for each text, least hashes kept of its shingles, words of a shingle.
-FAMILIES, SKETCH, SHINGLE = 8, 64, 5
-#: Of SKETCH hashes, how many two texts share for certain (at a similarity of 0.8, at random in 1 of 100,000 cases) and at least
-#: (at 0.8, fewer in 1 of 2,000): in between, the texts themselves decide.
-SURE, MAYBE = 63, 40
-#: Texts looked at for common shingles, and how many of these are kept at most.
+#: Of the near-duplicate stage: fingerprints for each text, words of a shingle.
+FAMILIES, SHINGLE = 8, 5
+#: Texts looked at for common shingles, and how many of these are kept at most: they set an order only.
 COMMON_TEXTS, COMMON = 1 << 12, 1 << 16
+#: Texts that one copy of another text's shingles is compared with.
+COMPARED = 64
+#: Members of one group that one copy of the group's verdict serves.
+SPREAD = 16
 
 
 def shingles(text: bytes) -> set[int]:
@@ -305,16 +306,16 @@ def similar(x: set[int], y: set[int]) -> bool:
     return 5 * shared >= 4 * (len(x) + len(y) - shared)
 
 
-def signature(text: bytes, common: np.ndarray) -> tuple[list[int], list[int], list[int], int]:
-    """Several independent fingerprints of a text's distinct words; of its 5-word shingles, the least hashes, the first of them
-    in the order of `ranked`, and how many there are.
+def signature(text: bytes, common: np.ndarray) -> tuple[list[int], list[int], int]:
+    """Several independent fingerprints of a text's distinct words; of its 5-word shingles, the first in the order of `ranked`,
+    and how many there are.
 
     An edited word changes one distinct word but five shingles, so the words' fingerprints stay near where the shingles'
     would not; a few families make it unlikely that a near copy is near in none.
     """
     w = text.lower().split()
     if not w:
-        return [0] * FAMILIES, [], [], 0
+        return [0] * FAMILIES, [], 0
     once = sorted(set(w))
     bits = np.frombuffer(b"".join([xxhash.xxh3_128_digest(x, s) for x in once for s in range(FAMILIES // 2)]), np.uint8).reshape(len(once), -1)
     counts = np.zeros(64 * FAMILIES, np.int64)
@@ -322,7 +323,7 @@ def signature(text: bytes, common: np.ndarray) -> tuple[list[int], list[int], li
         counts += np.unpackbits(bits[i : i + (1 << 12)], axis=1).sum(0, dtype=np.int64)
     fps = np.packbits(2 * counts > len(once)).view(">i8").astype(np.int64)
     h = shingles(text)
-    return fps.tolist(), np.sort(np.fromiter(h, np.uint64, len(h)))[:SKETCH].view(np.int64).tolist(), ranked(h, common).view(np.int64).tolist(), len(h)
+    return fps.tolist(), ranked(h, common).view(np.int64).tolist(), len(h)
 
 
 def ranked(h: set[int], common: np.ndarray) -> np.ndarray:
@@ -351,9 +352,32 @@ def _common(texts: DataFrame) -> np.ndarray:
     return np.sort(np.array([r.h for r in top], np.int64).view(np.uint64))
 
 
+def can_be_similar(n, p, m, q):
+    """Whether sets of n and m shingles may have a similarity of 0.8 if the first one they share is at place p of one and q of
+    the other: they share 4/9 of n + m at least, and no more than stand from there on. Columns or arrays."""
+    return (9 * (n - p) >= 4 * (n + m)) & (9 * (m - q) >= 4 * (n + m))
+
+
+def _starts(signed: DataFrame) -> DataFrame:
+    """signed (t, size, prefix), a row for each document -> (h, t, size, place): the first shingles of all different texts, of
+    those that more than one text has."""
+    each = signed.select("t", F.explode("prefix").alias("h"))
+    shared = cut(each.groupBy("h").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").select("h"))
+    rows = signed.select("t", "size", F.posexplode("prefix").alias("place", "h"))
+    rows = maybe_among(rows, F.col("h"), shared, "asked").where("asked").groupBy("h", "t").agg(F.min("size").alias("size"), F.min("place").alias("place"))
+    return cut(rows.join(shared, "h", "left_semi"))
+
+
+def _stars(starts: DataFrame) -> DataFrame:
+    """Pairs (u, v) that can be similar, u the text of a shingle's group in which the shingle comes first: the one with the
+    fewest shingles of its own. As many as there are rows, at most."""
+    lead = starts.groupBy("h").agg(F.min(F.struct("place", "size", "t")).alias("x"))
+    both = starts.join(lead, "h").where((F.col("t") != F.col("x.t")) & can_be_similar(F.col("size"), F.col("place"), F.col("x.size"), F.col("x.place")))
+    return both.select(F.col("x.t").alias("u"), F.col("t").alias("v"))
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h, t, root, size, place), sorted by h and size -> pairs of texts of different roots that share h, of sizes and
-    places in their orders that leave room for a similarity of 0.8."""
+    """Rows (h, t, root, size, place), sorted by h and size -> pairs of texts of different roots that share h and can be similar."""
 
     def pairs(h: np.ndarray, t: np.ndarray, root: np.ndarray, size: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
         i, step = np.arange(len(h)), 1
@@ -361,11 +385,9 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i = i[: np.searchsorted(i, len(h) - step)]
             i = i[(h[i] == h[i + step]) & (5 * size[i] >= 4 * size[i + step])]
             j = i + step
-            room = np.minimum(place[i], place[j]) + np.minimum(size[i] - place[i], size[j] - place[j])
-            good = (root[i] != root[j]) & (9 * room >= 4 * (size[i] + size[j]))
+            good = (root[i] != root[j]) & can_be_similar(size[i], place[i], size[j], place[j])
             if good.any():
-                x, y = t[i[good]], t[j[good]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(t[i[good]]), pa.array(t[j[good]])], ["u", "v"])
             step += 1
 
     rest = None
@@ -383,36 +405,64 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rest = [x[cutoff:] for x in rest]
 
 
-def _sharing(prefixes: DataFrame, label: DataFrame) -> DataFrame:
-    """prefixes (t, size, prefix), label (node, root) -> pairs (a, b) of texts not yet in one group that can have a similarity of
-    0.8: none that has it is left out."""
-    spark = prefixes.sparkSession
+def _apart(starts: DataFrame, label: DataFrame) -> DataFrame:
+    """starts as of _starts, label (node, root) -> the pairs (u, v) of texts of different groups that can be similar."""
+    spark = starts.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    known = prefixes.join(label, F.col("t") == F.col("node"), "left").select("t", F.coalesce("root", "t").alias("root"), "size", F.posexplode("prefix").alias("place", "h"))
+    rows = cut(starts.join(label, F.col("t") == F.col("node"), "left").select("h", "t", F.coalesce("root", "t").alias("root"), "size", "place"))
+    # shingles whose texts are all in one group by now are done
+    open_ = rows.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("h")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    dealt = rows.join(open_, "h", "left_semi").select("h", "t", "root", "size", "place").repartition(n, "h").sortWithinPartitions("h", "size", "t")
+    return dealt.mapInArrow(_meet, "u long, v long")
+
+
+def _new(pairs: DataFrame, judged: DataFrame | None = None) -> DataFrame:
+    """pairs (u, v) once each, whichever way round, without the judged ones."""
+    a, b = F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")
+    once = pairs.where("u <> v").groupBy(a, b).agg(F.min("u").alias("u"))
+    if judged is not None:
+        once = once.join(judged.select(a, b).distinct(), ["a", "b"], "left_anti")
+    return cut(once.select("u", F.when(F.col("u") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("v")))
+
+
+def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (u, v) of the keys of texts (k1, text; equal texts have one key) whose whole texts are similar. The shingles of u
+    are made once for up to about COMPARED texts v, so a text with very many partners is dealt over tasks."""
+    spark = texts.sparkSession
+    small_batches(spark)
+    members = cut(pairs.select(F.explode(F.array("u", "v")).alias("k")).distinct())
+    asked = maybe_among(texts, F.col("k1"), members, "asked").where("asked").select("k1", "text")
+    whole = cut(asked.join(members, F.col("k1") == F.col("k"), "left_semi").groupBy("k1").agg(F.min("text").alias("text")))
+    blocks = pairs.groupBy("u").agg(F.ceil(F.count("*") / COMPARED).cast("int").alias("n"))
+    firsts = blocks.join(whole, F.col("u") == F.col("k1")).select("u", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block"), F.lit(None).cast("long").alias("v"), "text")
+    others = pairs.join(blocks, "u").select("u", F.pmod(F.xxhash64("v"), F.col("n")).cast("int").alias("block"), "v")
+    others = others.join(whole, F.col("v") == F.col("k1")).select("u", "block", "v", "text")
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    dealt = known.select("h", "t", "root", "size", "place").repartition(n, "h").sortWithinPartitions("h", "size")
-    return cut(dealt.mapInArrow(_meet, "a long, b long").where("a <> b").distinct())
+    dealt = firsts.union(others).repartition(n, "u", "block").sortWithinPartitions("u", "block", F.col("v").asc_nulls_first())
 
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine: set[int] = set()
+        for b in batches:
+            good = []
+            for v, text in zip(b.column(1).to_pylist(), byte_texts(b.column(2)), strict=True):
+                if v is None:
+                    mine = shingles(text)
+                good.append(v is not None and similar(mine, shingles(text)))
+            yield b.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-def _decided(texts: DataFrame, sketches: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar, as (u, v): by their sketches where these hold all shingles or leave no doubt, else by
-    the whole texts."""
-    both = pairs.join(sketches.select(F.col("t").alias("a"), F.col("sketch").alias("x")), "a").join(sketches.select(F.col("t").alias("b"), F.col("sketch").alias("y")), "b")
-    least = F.slice(F.array_sort(F.array_union("x", "y")), 1, SKETCH)
-    shared = F.size(F.array_intersect(F.array_intersect(least, F.col("x")), F.col("y")))
-    m = F.size(least)
-    judged = both.select("a", "b", m.alias("m"), shared.alias("shared")).where(F.when(F.col("m") < SKETCH, 5 * F.col("shared") >= 4 * F.col("m")).otherwise(F.col("shared") >= MAYBE))
-    judged = cut(judged.select(F.col("a").alias("u"), F.col("b").alias("v"), ((F.col("m") < SKETCH) | (F.col("shared") >= SURE)).alias("sure")))
-    return cut(judged.where("sure").select("u", "v").union(_verified(texts, judged.where("NOT sure").select("u", "v"))))
+    return cut(dealt.select("u", "v", "text").mapInArrow(verify, "u long, v long"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text and any more) without the near copies: of each group the row of least id stays (a null id comes last).
 
     Texts are near copies if their sets of 5-word shingles have a similarity of 0.8 or more. Equal texts are one from the start.
-    Those whose fingerprints differ in at most 3 bits in some family are compared first, along spanning links; then all that
-    share one of the first shingles and are not yet in one group, so that no near copy is left uncompared. Of equal rows one
-    stays. Empty and null texts are copies of each other.
+    Compared are, always by the whole texts: those whose fingerprints differ in at most 3 bits in some family, along spanning
+    links; then, for each of the first shingles, its texts with the one nearest to its start; then all that share one of the
+    first shingles and are not in one group by then, so that no near copy is left uncompared. Of equal rows one stays. Empty and
+    null texts are copies of each other. Ties (equal ids, different texts) go to the least hash of the row; other columns are
+    carried as they are, whatever their names. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
@@ -423,24 +473,32 @@ def keep_one(docs: DataFrame) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [signature(x, common.value) for x in byte_texts(b.column(3))]
-            lists = [pa.array([x[i] for x in found], pa.list_(pa.int64())) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], *lists, pa.array([x[3] for x in found], pa.int64())], ["doc_id", "k", "t", "fps", "sketch", "prefix", "size"])
+            lists = [pa.array([x[i] for x in found], pa.list_(pa.int64())) for i in range(2)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *lists, pa.array([x[2] for x in found], pa.int64())], ["doc_id", "k", "t", "fps", "prefix", "size"])
 
-    signed = cut(base_columns(keyed, doc_id=F.col("doc_id").cast("long"), k="k1", t="t", text="text").mapInArrow(sign, "doc_id long, k long, t long, fps array<long>, sketch array<long>, prefix array<long>, size long"))
-    each = signed.select("t", F.posexplode("fps").alias("family", "fp"))
-    points = cut(each.groupBy("family", "fp").agg(F.min("t").alias("rep")))
+    signed = cut(base_columns(keyed, doc_id=F.col("doc_id").cast("long"), k="k1", t="t", text="text").mapInArrow(sign, "doc_id long, k long, t long, fps array<long>, prefix array<long>, size long"))
+    texts = keyed.select(F.col("t").alias("k1"), "text")
+    each = signed.select("t", "size", F.posexplode("fps").alias("family", "fp"))
+    points = cut(each.groupBy("family", "fp").agg(F.min(F.struct("t", "size")).alias("rep")))
     links = near_links(points.select("family", "fp"))
-    far = _reps(links, points)
-    same = each.join(points, ["family", "fp"]).where("t <> rep").select(F.col("t").alias("a"), F.col("rep").alias("b"))
-    sketches, texts = signed.groupBy("t").agg(F.min("sketch").alias("sketch")), keyed.select(F.col("t").alias("k1"), "text")
-    near = _decided(texts, sketches, far.union(same).distinct())
-    label = components(near)
-    more = _decided(texts, sketches, _sharing(signed.select("t", "size", "prefix"), label))
-    label = components(near.union(more))
+    a = points.select("family", F.col("fp").alias("u"), F.col("rep").alias("a"))
+    b = points.select("family", F.col("fp").alias("v"), F.col("rep").alias("b"))
+    far = links.join(a, ["family", "u"]).join(b, ["family", "v"]).select("a", "b")
+    same = each.groupBy("family", "fp", "t").agg(F.min("size").alias("size")).join(points, ["family", "fp"]).select(F.col("rep").alias("a"), F.struct("t", "size").alias("b"))
+    sized = (5 * F.least("a.size", "b.size") >= 4 * F.greatest("a.size", "b.size")) & (F.col("a.t") != F.col("b.t"))
+    first = _new(far.union(same).where(sized).select(F.col("a.t").alias("u"), F.col("b.t").alias("v")))
+    near = _verified(texts, first)
+    starts = _starts(signed)
+    second = _new(_stars(starts), first)
+    near = near.union(_verified(texts, second))
+    third = _new(_apart(starts, components(near)), first.union(second))
+    label = cut(components(near.union(_verified(texts, third))))
     ids = signed.groupBy("k", "t").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
-    rooted = ids.join(label, F.col("t") == F.col("node"), "left").select("k", "doc_id", "n", F.coalesce("root", "t").alias("root"))
-    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "k")).alias("s"))
-    verdict = rooted.join(first, "root").select("k", "n", (F.col("k") == F.col("s.k")).alias("stays"))
+    rooted = cut(ids.join(label, F.col("t") == F.col("node"), "left").select("k", "doc_id", "n", F.coalesce("root", "t").alias("root")))
+    best = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "k")).alias("s"), F.count("*").alias("members"), F.max("n").alias("most"))
+    # a group may hold very many rows: its verdict goes to them in as many copies as it needs
+    best = best.where("members > 1 OR most > 1").withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    verdict = rooted.withColumn("deal", F.pmod("k", F.lit(SPREAD)).cast("int")).join(best, ["root", "deal"]).select("k", "n", (F.col("k") == F.col("s.k")).alias("stays"))
     verdict = cut(verdict.where("NOT stays OR n > 1"))
     # only texts that may have a verdict cross the network
     asked = maybe_among(keyed.select("doc", "k1", "k2"), F.col("k1"), verdict.select("k"), "asked")
@@ -449,31 +507,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
     return once.union(out.where("n > 1").dropDuplicates(["k1", "k2"]).select("doc")).select("doc.*")
 
 
-def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (u, v) of the keys of texts (k1, text) whose whole texts are similar."""
-    small_batches(texts.sparkSession)
-    members = cut(pairs.select(F.explode(F.array("u", "v")).alias("k")).distinct())
-    asked = maybe_among(texts, F.col("k1"), members, "asked").where("asked")
-    # equal texts have one key
-    whole = cut(asked.join(members, F.col("k1") == F.col("k")).groupBy("k").agg(F.min("text").alias("text")))
-    x = whole.select(F.col("k").alias("u"), F.col("text").alias("x"))
-    y = whole.select(F.col("k").alias("v"), F.col("text").alias("y"))
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            good = [similar(shingles(p), shingles(q)) for p, q in zip(byte_texts(b.column(2)), byte_texts(b.column(3)), strict=True)]
-            yield b.select([0, 1]).filter(pa.array(good, pa.bool_()))
-
-    return pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(verify, "u long, v long")
-
-
-def _reps(links: DataFrame, points: DataFrame) -> DataFrame:
-    """Links of fingerprints as links of the documents that stand for them."""
-    a = points.select("family", F.col("fp").alias("u"), F.col("rep").alias("a"))
-    b = points.select("family", F.col("fp").alias("v"), F.col("rep").alias("b"))
-    return links.join(a, ["family", "u"]).join(b, ["family", "v"]).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -504,6 +504,40 @@ def test_near_copies_by_blocks_and_reorderings_stay_once(spark):
     assert got == {i for i, x in enumerate(root) if i == x}
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_near_copies_among_all_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    sets, root = [simhash.shingles((t or "").encode()) for _, t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * min(len(sets[i]), len(sets[j])) >= 4 * max(len(sets[i]), len(sets[j])) and simhash.similar(sets[i], sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if x == b else x for x in root] if a != b else root
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == [rows[i][0] for i, x in enumerate(root) if i == x]
+
+
+def test_pairs_grow_with_the_rows_of_a_group(spark):
+    base, r, made = words(77, 150).split(), random.Random(1), []
+    for n in (60, 240):
+        texts = []
+        for i in range(n):
+            w = list(base)
+            for k in range(i % 3):
+                w[r.randrange(150)] = f"own{i}x{k}"
+            texts.append(" ".join(w).encode())
+        common = np.sort(np.fromiter(simhash.shingles(" ".join(base).encode()), np.uint64))
+        rows = [(t, *simhash.signature(x, common)[1:]) for t, x in enumerate(texts)]
+        starts = simhash._starts(spark.createDataFrame(rows, "t long, prefix array<long>, size long"))
+        pairs = simhash._new(simhash._stars(starts))
+        found = simhash._verified(spark.createDataFrame([(t, x.decode()) for t, x in enumerate(texts)], "k1 long, text string"), pairs)
+        label = components(found)
+        made.append(pairs.count())
+        assert label.count() == n and label.select("root").distinct().count() == 1  # no pair is left for the last step
+        assert simhash._apart(starts, label).count() == 0
+    assert made[1] <= 8 * made[0]
+
+
 def test_first_shingles_meet_in_any_order():
     r = random.Random(8)
     for _ in range(300):
