@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The same as a compressed table in the shared checkpoint folder: for wide rows, and where later steps read few columns."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Of a key bitmap: 2**26 positions in buckets of 2**15, so at most 2,048 rows of 4 KB (8 MB), whatever the number of keys.
 BITMAP_BITS, BUCKET_BITS = 26, 15
 

@@ -10,8 +10,8 @@ one over the cell's.
 Words are told apart by 128 bits, and Spark counts them by these. The weights are trained by distributed gradient updates: a
 training document belongs to one round and one part, by hashes; the number of parts follows from the number of tokens. Each
 part starts from the common weights, and the weights are averaged by the tokens seen, so neither cores nor partitions change a
-score. Texts are read as words three times (counts, endings, features); the rounds and the scores read the features, four
-bytes a token.
+score. Texts are read as words three times (counts, endings, features); the rounds and the scores read the features, 18 bits
+a token.
 
 Counts are looked up in two ways. Words that make up 2**-20 or more of all words are at most 2**20, so their counts are
 broadcast; all others meet the count table in a shuffle join, in which no key can be hot.
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import LOWER, base_columns, crc_mod, cut, distinct_keys, mixed, small_batches, table, utf8, word_keys, words
+from pagemill.llm.common import LOWER, base_columns, crc_mod, distinct_keys, mixed, small_batches, table, utf8, word_keys, words, written
 
 #: Words whose counts are broadcast have at least this share of all words.
 HEAD = 2.0**-20
@@ -37,7 +37,7 @@ END = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)
 START_CLASS = CLASSES
 ROUNDS, MINIBATCH, STEP, DAMP = 2, 4096, 2.0, 5.0
 #: Training tokens of a part, about.
-PART = 1 << 21
+PART = 1 << 22
 #: Rows of the weight table of classes: two hashed words, pairs of classes (the text's start included).
 PAIR = 2 * ROWS
 WEIGHTS = PAIR + (CLASSES + 1) ** 2
@@ -66,12 +66,8 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return out_a, out_b, out_e, np.repeat(np.arange(n), size + 1)
 
 
-def _cell(a: np.ndarray) -> np.ndarray:
-    return (a >> np.uint64(20)).astype(np.int64) % CELLS
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text -> (a, b, e, n): tokens by key, with their ending."""
+    """text -> (a, b, e, n): tokens by key, with their ending and, times ENDINGS, their cell."""
     kinds = (np.uint64, np.uint64, np.int64, np.int64)
     known = [np.zeros(0, t) for t in kinds]
     held: list[tuple[np.ndarray, ...]] = []
@@ -86,6 +82,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows() -> pa.RecordBatch:
         a, b, e, n = known
+        e = e + hashed_row(a) % CELLS * ENDINGS
         return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(e.astype(np.int32)), pa.array(n)], ["a", "b", "e", "n"])
 
     for batch in batches:
@@ -148,17 +145,32 @@ def clustered(x: np.ndarray, k: int, rounds: int = 25) -> np.ndarray:
     return label
 
 
+def hashed_row(a: np.ndarray) -> np.ndarray:
+    return (mixed(a) >> np.uint64(52)).astype(np.int64)
+
+
 def packed(classes: Classes, a: np.ndarray, ending: np.ndarray) -> np.ndarray:
-    """A token's features in four bytes: class, cell, hashed row."""
-    c = classes.of(a, ending).astype(np.uint32)
-    row = (mixed(a) >> np.uint64(52)).astype(np.uint32)
-    return c | _cell(a).astype(np.uint32) << np.uint32(8) | row << np.uint32(16)
+    """A token's features as one number: its hashed row (the cell are the last bits of it), and its class."""
+    return (hashed_row(a) | classes.of(a, ending) << 12).astype(np.uint32)
+
+
+def narrow(x: np.ndarray) -> bytes:
+    """Packed tokens in 18 bits each: 16 of each, then the last two."""
+    high = np.zeros(-(-len(x) // 4) * 4, np.uint8)
+    high[: len(x)] = x >> np.uint32(16)
+    return x.astype(np.uint16).tobytes() + (high.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8).tobytes()
+
+
+def widened(data, n: int) -> np.ndarray:
+    """The n packed tokens again."""
+    low, high = np.frombuffer(data, np.uint16, n), np.frombuffer(data, np.uint8, offset=2 * n)
+    return low | (high[:, None] >> np.array([0, 2, 4, 6], np.uint8) & np.uint8(3)).ravel()[:n].astype(np.uint32) << np.uint32(16)
 
 
 def history(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of packed tokens, given which of them begin a text: (class, its rows of weights, tokens of classes with cells, cells of
     these, their rows of weights)."""
-    c, row = (x & np.uint32(255)).astype(np.int32), (x >> np.uint32(16)).astype(np.int32)
+    c, row = (x >> np.uint32(12)).astype(np.int32), (x & np.uint32(4095)).astype(np.int32)
     n = len(x)
     one, two, c1, c2 = (np.full(n, v, np.int32) for v in (1, 2, START_CLASS, START_CLASS))
     one[1:], c1[1:] = row[:-1], c[:-1]
@@ -172,7 +184,7 @@ def history(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     k = c[inner]
     both = lambda w, salt: ((w[inner].astype(np.uint64) << np.uint64(8) | k.astype(np.uint64)) * np.uint64(salt) >> np.uint64(52)).astype(np.int32)
     cells = np.stack([both(one, 0x9E3779B97F4A7C15), ROWS + both(two, 0xD6E8FEB86659FD93), 2 * ROWS + k])
-    return c, rows, inner, (x[inner] >> np.uint32(8) & np.uint32(255)).astype(np.int32), cells
+    return c, rows, inner, row[inner] % CELLS, cells
 
 
 def _exps(w: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,7 +234,7 @@ def _steps(w: np.ndarray, rows: np.ndarray, y: np.ndarray) -> None:
 
 
 def _learn(w: np.ndarray, v: np.ndarray):
-    """(part, x) of one round, sorted by part -> (part, table, row, move): how far each part moves each row of weights, times the
+    """(part, n_tokens, x) of one round, sorted by part -> (part, table, row, move): how far each part moves each row of weights, times the
     tokens it saw. Row -1: those tokens."""
 
     def moves(part: int, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -244,12 +256,12 @@ def _learn(w: np.ndarray, v: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for b in batches:
-            for part, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for part, n, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 if part != now and held:
                     yield from moves(now, held)
                     held = []
                 now = part
-                held.append(np.frombuffer(x.as_buffer(), np.uint32))
+                held.append(widened(x.as_buffer(), n))
         if held:
             yield from moves(now, held)
 
@@ -296,7 +308,7 @@ class Model:
 
 def shape(texts: DataFrame) -> tuple[Model, DataFrame, int, int]:
     """texts (text) -> the model without its weights, the count table (a, b, e, c), all tokens and distinct ones."""
-    counts = cut(texts.mapInArrow(_count, "a long, b long, e int, n long").groupBy("a", "b").agg(F.min("e").alias("e"), F.sum("n").alias("c")))
+    counts = written(texts.mapInArrow(_count, "a long, b long, e int, n long").groupBy("a", "b").agg(F.min(F.col("e") % ENDINGS).alias("e"), F.min(F.expr(f"e div {ENDINGS}")).cast("int").alias("cell"), F.sum("n").alias("c")))
     total, distinct = counts.agg(F.sum("c"), F.count("*")).first()
     total = total or 0
     head = counts.where(F.col("c") >= max(1.0, total * HEAD)).select("a", "b", "c").toPandas()
@@ -311,8 +323,7 @@ def shape(texts: DataFrame) -> tuple[Model, DataFrame, int, int]:
     classes = Classes(top, clustered(np.sqrt(x), CLUSTERS))
     single = F.col("a").isin([int(k) for k in top.view(np.int64)])
     sizes = np.ones((CLASSES, CELLS))
-    cell = F.pmod(F.shiftrightunsigned("a", 20), F.lit(CELLS)).alias("cell")
-    for r in counts.where(~single).groupBy("e", cell).agg(F.sum(F.col("c") + 1).alias("s")).collect():
+    for r in counts.where(~single).groupBy("e", "cell").agg(F.sum(F.col("c") + 1).alias("s")).collect():
         sizes[TOP + 1 + classes.cluster[r.e], r.cell] += r.s
     sizes[: TOP + 1] = 0
     for r in counts.where(single).groupBy("a").agg(F.sum("c").alias("s")).collect():
@@ -337,8 +348,8 @@ def _features(held, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         bounds = np.searchsorted(rare[at], np.arange(n + 1)).astype(np.int32)
         words_ = pa.StructArray.from_arrays([pa.array(a[at].view(np.int64)), pa.array(b[at].view(np.int64)), pa.array(times.astype(np.int64))], ["a", "b", "n"])
         size = np.bincount(of, minlength=n)
-        edges = np.append(0, np.cumsum(size * 4)).astype(np.int64)
-        binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(x.tobytes())]).cast(pa.binary())
+        edges = np.append(0, np.cumsum(size)).tolist()
+        binary = pa.array([narrow(x[i:j]) for i, j in zip(edges, edges[1:], strict=False)], pa.binary())
         arrays = [pa.array(size.astype(np.int64)), pa.array(np.bincount(of, hit, n).astype(np.int64)), pa.array(np.bincount(of, logs, n)), binary, pa.ListArray.from_arrays(pa.array(bounds), words_)]
         yield pa.RecordBatch.from_arrays([*batch.columns[:4], *arrays], ["doc_id", "held_out", "round", "h", "n_tokens", "known", "logs", "x", "rare"])
 
@@ -357,9 +368,10 @@ def weights(rows: DataFrame, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     found = {r["round"]: r.n for r in rows.groupBy("round").agg(F.sum("n_tokens").alias("n")).collect()}
     for r in sorted(found):
         parts = -(-found[r] // PART)
-        dealt = rows.where(F.col("round") == r).select(F.pmod("h", F.lit(parts)).cast("int").alias("part"), "h", "x").repartition(parts, "part").sortWithinPartitions("part", "h", "x")
-        moves = dealt.select("part", "x").mapInArrow(_learn(w, v), "part int, number int, row int, move binary")
-        summed = moves.repartition(shuffles, "number", "row").sortWithinPartitions("part").mapInArrow(_added, "number int, row int, move binary").collect()
+        dealt = rows.where(F.col("round") == r).select(F.pmod("h", F.lit(parts)).cast("int").alias("part"), "h", "n_tokens", "x")
+        dealt = dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "h", "x")
+        moves = dealt.select("part", "n_tokens", "x").mapInArrow(_learn(w, v), "part int, number int, row int, move binary")
+        summed = moves.repartition(max(shuffles, parts), "number", "row").sortWithinPartitions("part").mapInArrow(_added, "number int, row int, move binary").collect()
         seen = sum(np.frombuffer(bytes(x.move))[0] for x in summed if x.row < 0)
         for x in summed:
             if x.row >= 0:
@@ -368,12 +380,12 @@ def weights(rows: DataFrame, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _score(held, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """x and any more -> those, and log10 of the classes, the cells and the cells' sizes of all its tokens."""
+    """x, n_tokens and any more -> those, and log10 of the classes, the cells and the cells' sizes of all its tokens."""
     w, v, sizes = held.value
     with np.errstate(divide="ignore"):
         size = np.log10(sizes)
     for b in batches:
-        texts = [np.frombuffer(x.as_buffer(), np.uint32) for x in b.column(0)]
+        texts = [widened(x.as_buffer(), n) for x, n in zip(b.column(0), b.column(1).to_pylist(), strict=True)]
         n = np.fromiter(map(len, texts), np.int64, len(texts))
         if not len(texts):
             continue
@@ -405,9 +417,9 @@ def scored(docs: DataFrame) -> DataFrame:
     docs = base_columns(docs, doc_id=F.col("doc_id").cast("long"), held_out=crc_mod(F.col("doc_id"), 7) == 2, round=F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)).cast("int"), h=h, text="text")
     model, counts, total, distinct = shape(docs.where(~F.col("held_out")).select("text"))
     held = spark.sparkContext.broadcast(model)
-    rows = cut(docs.mapInArrow(lambda batches: _features(held, batches), SCHEMA)).withColumn("row", F.monotonically_increasing_id())
+    rows = written(docs.mapInArrow(lambda batches: _features(held, batches), SCHEMA).withColumn("row", F.monotonically_increasing_id()))
     learned = spark.sparkContext.broadcast((*weights(rows.where(~F.col("held_out")), model.sizes), model.sizes))
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, classes double"
+    schema = "n_tokens long, row long, doc_id long, held_out boolean, known long, logs double, classes double"
     judged = rows.select("x", *(c.split()[0] for c in schema.split(", ")[:-1])).mapInArrow(lambda batches: _score(learned, batches), schema)
     rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.a", "r.b", "r.n")
     odd = F.col("a").isin([int(k) for k in model.counts.odd.view(np.int64)])
