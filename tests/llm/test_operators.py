@@ -10,6 +10,7 @@ import textwrap
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -210,7 +211,8 @@ def test_equal_first_halves_of_keys_stay_apart():
 def test_language_model_sums_to_one():
     r = np.random.default_rng(0)
     w, v = r.normal(size=(lm.WEIGHTS, lm.CLASSES)).astype(np.float32), r.normal(size=(lm.CELL_WEIGHTS, lm.CELLS)).astype(np.float32)
-    x = (r.integers(0, lm.CLASSES, 200) | r.integers(0, lm.CELLS, 200) << 8 | r.integers(0, lm.ROWS, 200) << 16).astype(np.uint32)
+    x = (r.integers(0, lm.CLASSES, 200) << 12 | r.integers(0, lm.ROWS, 200)).astype(np.uint32)
+    assert all((lm.widened(lm.narrow(x[:n]), n) == x[:n]).all() for n in range(20))
     c, rows, inner, cell, cells = lm.history(x, np.array([0, 50]))
     for table, f in ((w, rows), (v, cells)):
         for scale in (1, 100):  # also beyond what a plain exponential holds
@@ -300,6 +302,40 @@ def test_mixing_reaches_targets(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, again))
 
 
+def test_mixing_of_null_and_equal_ids(spark):
+    rows = [(None, f"w{i} w{i} w{i} w{i} w{i}", "a") for i in range(100)]  # null ids, different texts
+    rows += [(7, "one two three four", "b")] * 80 + [(7, None, "b"), (7, "", "b")]  # equal rows
+    rows += [(i // 10, f"x{i % 4} y", "c") for i in range(200)] + [(1, None, None), (None, None, None)]
+    ids, texts, sources = zip(*rows, strict=True)
+    results = []
+    for parts in (1, 3, 8):
+        got = mixing.mix(documents(spark, texts, ids, sources).repartition(parts)).collect()
+        results.append(sorted(map(str, got)))
+        assert len(got) == len(rows)
+        by = {}
+        for r in got:
+            by.setdefault((r.source_size, r.target), []).append(r)
+        for (size, target), v in by.items():
+            assert size == sum(r.size for r in v) and abs(sum(r.taken for r in v) - target) <= max(r.size for r in v)
+            assert all(r.taken <= 3 * r.size and r.taken % max(r.size, 1) == 0 for r in v)
+    assert results[0] == results[1] == results[2]
+
+
+@pytest.mark.parametrize("few", [50_000, 2])
+def test_mixing_agrees_with_sql(spark, odd, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", few)  # with 2, also the ways for very many sources
+    rows = [(i % 60, words(i % 50, 1 + i % 9), f"s{i % 7}") for i in range(400)] + [(None, "a b", None), (None, None, "s1")] * 3
+    ids, texts, sources = zip(*rows, strict=True)
+    for docs in (odd, documents(spark, texts, ids, sources)):
+        docs.write.mode("overwrite").parquet(str(tmp_path / "d"))
+        con = duckdb.connect()
+        con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+        want = con.sql(f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.ORACLE})").fetchall()
+        got = [tuple(r) for r in mixing.mix(docs).collect()]
+        near = lambda rows: sorted(((a, b, c, round(d, 6), e) for a, b, c, d, e in rows), key=str)
+        assert near(got) == near(want)
+
+
 def test_mixing_joins_without_a_broadcast(spark, odd, monkeypatch):
     want = sorted(map(str, mixing.mix(odd).collect()))
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
