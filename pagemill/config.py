@@ -10,8 +10,15 @@ import typing
 class PageConfig:
     """A synthetic page: sizes in points at 72 dots per inch, chunks in characters."""
 
+    dataset_path: str = "corpus"
+    data_directory: str = ""
+    split: str = "train"
+    key_column: str = "doc_id"
+    output_path: str = "pages"
+    show_sample: bool = False
+    font_dirs: str = "/usr/share/fonts,/usr/local/share/fonts"
     max_text_length: int = 2000
-    max_entries: int = 0
+    max_entries: int = 400
     num_examples: int = 0
     text_column: str = "text"
     image_width: int = 512
@@ -21,11 +28,11 @@ class PageConfig:
     font_path: str = "default"
     font_color: str = "black"
     bg_color: str = "white"
-    vertical_alignment: str = "top"
+    vertical_alignment: str = "center"
     horizontal_alignment: str = "left"
     max_width_ratio: float = 0.9
     tab_width: int = 4
-    random_fonts: bool = False
+    random_fonts: bool = True
     random_backgrounds: bool = True
     random_font_color: bool = True
     seed: int = 42
@@ -33,8 +40,14 @@ class PageConfig:
 
 @dataclasses.dataclass(frozen=True)
 class PackConfig:
-    """Packed token blocks for language-model training."""
+    """Packed token blocks for language-model training. Without a tokenizer's file, tokens are code points."""
 
+    dataset_path: str = "corpus"
+    data_directory: str = ""
+    key_column: str = "doc_id"
+    text_column: str = "document"
+    tokenizer: str = ""
+    output_path: str = "blocks"
     max_length: int = 512
     max_train: int = 0
     max_eval: int = 10

@@ -48,20 +48,29 @@ def decoded(ids: Column | str, special: tuple[int, ...] = (EOS,)) -> Column:
     return F.array_join(F.transform(F.filter(ids, lambda i: ~i.isin(*special)), lambda i: F.decode(F.unhex(F.lpad(F.hex(i), 8, "0")), "UTF-32")), "")
 
 
-def packed(docs: DataFrame, length: int = 512, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+def packed(docs: DataFrame, length: int = 512, key: str = "doc_id", ids: Column | str = "ids", count: Column | None = None) -> DataFrame:
     """(block, input_ids): the documents' tokens, each with the end token, in the order of key, cut into blocks of `length`.
 
-    What fills no block is left out. The stream is never put together: offsets come from prefix sums, each document is
-    cut into pieces at block bounds, and pieces meet by block, at most `length` tokens in one group.
+    What fills no block is left out; a document without tokens is an end token, one whose tokens are null is none. The stream is
+    never put together: offsets come from prefix sums over (key, number of tokens) alone, each document is cut into pieces at
+    block bounds, and pieces meet by block, at most `length` tokens in one group. Tokens are made once, after the offsets are
+    known; `count`, if given, is their number without making them. Keys are unique, else it is an error.
     """
-    held = docs.where(F.col(ids).isNotNull()).select(key, with_eos(ids).alias("__ids")).withColumn("__n", F.size("__ids"))
-    held = prefix_sum(held, key, "__n", "__at")
+    ids = F.col(ids) if isinstance(ids, str) else ids
+    sizes = docs.select(key, ((F.size(ids) if count is None else count) + 1).cast("long").alias("__n")).where(F.col("__n") > 0)
+    if twice := sizes.groupBy(key).count().where("count > 1").first():
+        raise ValueError(f"{twice['count']} documents of key {twice[0]}")
+    offsets = prefix_sum(sizes, key, "__n", "__at")
+    held = docs.join(offsets, key).select("__at", "__n", with_eos(ids).alias("__ids"))
     first, last = F.expr(f"__at div {length}"), F.expr(f"(__at + __n - 1) div {length}")
-    cut = held.withColumn("block", F.explode(F.sequence(first, last)))
-    start = F.greatest(F.col("block") * length - F.col("__at"), F.lit(0))
-    stop = F.least((F.col("block") + 1) * length - F.col("__at"), F.col("__n").cast("long"))
-    piece = F.slice("__ids", (start + 1).cast("int"), (stop - start).cast("int"))
-    meet = cut.select("block", F.struct((F.col("__at") + start).alias("o"), piece.alias("p")).alias("x")).groupBy("block").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+
+    def piece(block: Column) -> Column:
+        start = F.greatest(block * length - F.col("__at"), F.lit(0).cast("long"))
+        stop = F.least((block + 1) * length - F.col("__at"), F.col("__n"))
+        return F.struct(block.alias("block"), (F.col("__at") + start).alias("o"), F.slice("__ids", (start + 1).cast("int"), (stop - start).cast("int")).alias("p"))
+
+    cut = held.select(F.explode(F.transform(F.sequence(first, last), piece)).alias("x")).select("x.block", F.struct("x.o", "x.p").alias("x"))
+    meet = cut.groupBy("block").agg(F.sort_array(F.collect_list("x")).alias("xs"))
     whole = meet.select("block", F.flatten(F.transform("xs", lambda x: x["p"])).alias("input_ids"))
     return whole.where(F.size("input_ids") == length)
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill.config import PageConfig
 from pagemill.functions.pytext import strip
@@ -63,10 +66,46 @@ def chunk_fold(text: Column | str, most: int) -> Column:
     return F.when(F.length(t) <= most, F.array(t)).otherwise(done)
 
 
+#: Rows that a function below puts out at once.
+BATCH = 4096
+
+
+def exploded(df: DataFrame, text: str, each: Callable[[str], Iterator[tuple]], added: list[T.StructField]) -> DataFrame:
+    """For each row with a text, a row for each of each(text): the other columns, its number, and what it holds. The function
+    runs once for a row, and rows go out in batches, however many one text gives."""
+    keys = [c for c in df.columns if c != text]
+    schema = T.StructType([df.schema[k] for k in keys] + added)
+    kinds = [f.dataType.simpleString() for f in added]
+    arrow = {"int": pa.int32(), "string": pa.string()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = ((i, n, *x) for i, t in enumerate(b.column(len(keys)).to_pylist()) for n, x in enumerate(each(t)))
+            while part := list(itertools.islice(rows, BATCH)):
+                at, *found = zip(*part, strict=True)
+                take = pa.array(at, pa.int32())
+                arrays = [b.column(k).take(take) for k in range(len(keys))] + [pa.array(x, arrow[k]) for x, k in zip(found, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, [*keys, *(f.name for f in added)])
+
+    return df.where(F.col(text).isNotNull()).select(*keys, text).mapInArrow(run, schema)
+
+
+def _number(name: str) -> T.StructField:
+    return T.StructField(name, T.IntegerType())
+
+
+def _text(name: str) -> T.StructField:
+    return T.StructField(name, T.StringType())
+
+
 def chunked(docs: DataFrame, most: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, chunk_ix, chunk; documents without text give none."""
-    found = docs.where(F.col(text).isNotNull()).select(key, chunk_column(text, most).alias("__c"))
-    return found.select(key, F.posexplode("__c").alias("chunk_ix", "chunk"))
+    return exploded(docs.select(key, text), text, lambda t: ((c,) for c in chunks(t.strip(), most)), [_number("chunk_ix"), _text("chunk")])
+
+
+def chunk_counts(docs: DataFrame, most: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, n: how many chunks a document has."""
+    return exploded(docs.select(key, text), text, lambda t: [(len(chunks(t.strip(), most)),)], [_number("__n"), _number("n")]).drop("__n")
 
 
 class FixedWidth:
@@ -80,46 +119,71 @@ class FixedWidth:
 
 
 class TableWidth:
-    """Advances by character, as read from a font."""
+    """Advances by character, as read from a font; what the font lacks advances by its default."""
 
     def __init__(self, advances: dict[int, float], default: float, height: int):
         self.advances, self.default, self.line_height = advances, default, height
 
+    @classmethod
+    def of_font(cls, font, size: int) -> TableWidth:
+        """From a row of sources.files.fonts, at a size in pixels. A font without glyphs (one that can't be read) gives nothing."""
+        scale = size / font["units_per_em"]
+        advances = {c: a * scale for c, a in zip(font["codepoints"], font["advances"], strict=True)}
+        height = font["line_units"] or font["units_per_em"]
+        return cls(advances, advances.get(ord("x"), size / 2), max(1, round(height * scale)))
+
     def width(self, text: str) -> float:
         return sum(self.advances.get(ord(c), self.default) for c in text)
 
 
+def font_measure(font, size: int):
+    """Widths from a font's row, or fixed ones where there is no such font or it can't be read."""
+    if font is None or not font["codepoints"] or not font["units_per_em"]:
+        return FixedWidth(max(1, round(size * 0.6)), size)
+    return TableWidth.of_font(font, size)
+
+
 def wrap(text: str, measure, most: float, tab: int = 4) -> Iterator[tuple[str, int]]:
     """(line, place in text after its last word) of a text wrapped to a width.
 
     Each line feed ends a paragraph. A blank paragraph is one empty line; any other is followed by one unless it is the last.
     A paragraph's indentation, tabs as blanks, stands on its first line; other runs of blanks become one.
-    A word wider than the line has a line of its own.
+    A word wider than the line has a line of its own. Lines are made as they are asked for; widths add up.
     """
-    at, parts = 0, text.split("\n")
-    for k, part in enumerate(parts):
-        if not part.strip():
+    at, stop_at, blank = 0, len(text), measure.width(" ")
+    while at <= stop_at:
+        over = text.find("\n", at)
+        last = over < 0
+        part = text[at:] if last else text[at:over]
+        bare = part.lstrip()
+        if not bare:
             yield "", at + len(part)
         else:
-            bare = part.lstrip()
-            indent = part[: len(part) - len(bare)].replace("\t", " " * tab)
-            line, end = "", at
+            start = len(part) - len(bare)
+            indent = part[:start].replace("\t", " " * tab)
+            line, end, wide = "", at, 0.0
             for m in re.finditer(r"\S+", bare):
-                word, stop = m[0], at + len(part) - len(bare) + m.end()
-                longer = f"{line} {word}" if line else indent + word
-                if line and measure.width(longer) > most:
+                word = m[0]
+                own = measure.width(word)
+                if line and wide + blank + own > most:
                     yield line, end
-                    longer = word
-                    # indentation stays with the paragraph's first line
-                line, end = longer, stop
+                    line = word  # indentation stays with the paragraph's first line
+                    wide = own
+                elif line:
+                    line = f"{line} {word}"
+                    wide += blank + own
+                else:
+                    line = indent + word
+                    wide = measure.width(indent) + own
+                end = at + start + m.end()
             yield line, end
-            if k < len(parts) - 1:
+            if not last:
                 yield "", at + len(part)
         at += len(part) + 1
 
 
 def fitting(lines: int, height: int, line_height: int, align: str) -> tuple[int, int, int]:
-    """(first line's y, line advance, lines that fit) on a page of the given height."""
+    """(first line's y, line advance, lines that fit) on a page of the given height. Of more lines than fit, any number gives the same."""
     advance = line_height + int(line_height * 0.2)
     total = lines * advance - int(line_height * 0.2)
     top = 0 if align == "top" else max(0, height - total) if align == "bottom" else max(0, (height - total) // 2)
@@ -130,17 +194,25 @@ def pages(text: str, measure, width: int, height: int, align: str = "top", tab:
     """(text on the page, y of its first line, lines) page by page.
 
     carry="length" goes on after as many characters as the page shows, which repeats or loses text where blanks were
-    collapsed or lines added; carry="source" goes on after the last word shown, and loses nothing.
+    collapsed or lines added, and ends at a page that shows nothing; carry="source" goes on after the last word shown, leaves out
+    blank lines before a page, and loses nothing. Where not even one line fits a page, nothing is shown.
     """
+    most = fitting(1 << 30, height, measure.line_height, "top")[2] + 1
     rest = text
     while rest:
-        lines = list(wrap(rest, measure, width, tab))
+        # one line more than fits tells that there is more
+        lines = list(itertools.islice(wrap(rest, measure, width, tab), most))
         top, _, fit = fitting(len(lines), height, measure.line_height, align)
         shown = lines[:fit]
         while shown and not shown[-1][0].strip():
             shown.pop()
         if not shown:
-            return
+            bare = rest.lstrip()
+            # at its start a text may have more blank lines than a page has
+            if carry == "length" or not fit or bare == rest:
+                return
+            rest = bare
+            continue
         page = "\n".join(line for line, _ in shown)
         yield page, top, len(shown)
         rest = rest[len(page) if carry == "length" else shown[-1][1] :].lstrip()
@@ -159,42 +231,42 @@ def line_x(align: str, width: int, margin: int, line_width: float) -> float:
     return margin if align == "left" else width - margin - line_width if align == "right" else (width - line_width) // 2
 
 
-PAGE = "array<struct<text:string,top:int,lines:int>>"
-
-
 def paginated(chunks_: DataFrame, c: PageConfig, measure=None, carry: str = "length") -> DataFrame:
     """chunks (.., chunk_ix, chunk) -> the same keys, page_ix, text, top, lines. One narrow stage."""
     g, measure = geometry(c), measure or FixedWidth()
+    laid = lambda t: pages(t, measure, g["inner_width"], g["height"], c.vertical_alignment, c.tab_width, carry)
+    return exploded(chunks_, "chunk", laid, [_number("page_ix"), _text("text"), _number("top"), _number("lines")])
 
-    @F.pandas_udf(PAGE)
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"text": p, "top": y, "lines": n} for p, y, n in pages(t, measure, g["inner_width"], g["height"], c.vertical_alignment, c.tab_width, carry)])
 
-    keys = [k for k in chunks_.columns if k != "chunk"]
-    found = chunks_.select(*keys, run("chunk").alias("__p"))
-    return found.select(*keys, F.posexplode("__p").alias("page_ix", "__q")).select(*keys, "page_ix", "__q.*")
+def laid_out(docs: DataFrame, c: PageConfig, measure=None, carry: str = "length", key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Chunks and pages of documents in one pass: key, chunk_ix, page_ix, text, top, lines."""
+    g, measure = geometry(c), measure or FixedWidth()
+
+    def each(t: str) -> Iterator[tuple]:
+        for k, chunk in enumerate(chunks(t.strip(), c.max_text_length)):
+            for n, page in enumerate(pages(chunk, measure, g["inner_width"], g["height"], c.vertical_alignment, c.tab_width, carry)):
+                yield k, n, *page
+
+    found = exploded(docs.select(key, text), text, each, [_number("__n"), _number("chunk_ix"), _number("page_ix"), _text("__t"), _number("top"), _number("lines")])
+    return found.select(key, "chunk_ix", "page_ix", F.col("__t").alias("text"), "top", "lines")
 
 
 def wrapped(chunks_: DataFrame, width: int, measure=None, tab: int = 4) -> DataFrame:
     """The same keys, line_ix, line."""
     measure = measure or FixedWidth()
-
-    @F.pandas_udf(CHUNKS)
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [line for line, _ in wrap(t, measure, width, tab)])
-
-    keys = [k for k in chunks_.columns if k != "chunk"]
-    return chunks_.select(*keys, F.posexplode(run("chunk")).alias("line_ix", "line"))
+    return exploded(chunks_, "chunk", lambda t: ((line,) for line, _ in wrap(t, measure, width, tab)), [_number("line_ix"), _text("line")])
 
 
 #: The colors that text may have, and the ranges of random backgrounds.
-FONT_COLORS = ("black", "darkblue", "darkgreen", "darkred", "purple")
+FONT_COLORS = ("black", "darkblue", "darkred", "darkgreen", "brown")
 BACKGROUND = {"r": (200, 255), "g": (180, 255), "b": (150, 255)}
+#: Red, green and blue of the color names in use.
+NAMED_COLORS = {"white": (255, 255, 255), "black": (0, 0, 0), "darkblue": (0, 0, 139), "darkred": (139, 0, 0), "darkgreen": (0, 100, 0), "brown": (165, 42, 42), "lightyellow": (255, 255, 224), "lightgray": (211, 211, 211)}
 
 
 def attributed(pages_: DataFrame, c: PageConfig, fonts: tuple[str, ...] = (), key: str = "doc_id") -> DataFrame:
     """Adds a page's attributes. What is random depends on the seed and the page's key alone, so neither the partitioning nor a
-    rerun changes it; a run has one font color, each page its background and font."""
+    rerun changes it; a run has one font color, each page its background and font. Sizes are those at the page's resolution."""
     ident = [F.lit(str(c.seed)), F.col(key), F.col("chunk_ix"), F.col("page_ix")]
     g = geometry(c)
     if c.random_backgrounds:
@@ -208,16 +280,38 @@ def attributed(pages_: DataFrame, c: PageConfig, fonts: tuple[str, ...] = (), ke
     return pages_.select("*", font.alias("font_path"), bg.alias("bg_color"), ink.alias("font_color"), *(F.lit(v).alias(k) for k, v in constants.items()))
 
 
-NAMED_COLORS = {"white": (255, 255, 255), "black": (0, 0, 0), "lightyellow": (255, 255, 224), "lightgray": (211, 211, 211)}
+def rendered(pages_: DataFrame, c: PageConfig, fonts: DataFrame | None = None, font: str | None = None, draw: Callable | None = None) -> DataFrame:
+    """Adds image (bytes, path): each page of `attributed` as a PNG of its pixel size, its background, and its lines in its
+    color where `fitting` and `line_x` put them.
 
+    Glyphs are the outlines of a TrueType font: `font` names one of `fonts` (sources.files.fonts; its bytes are sent to the tasks).
+    Without one, or for a font that can't be read, letters are boxes of a fixed width, so that places and colors still hold.
+    `draw` (from text, y, attributes to an encoded image) takes the place of this renderer.
+    """
+    from pagemill.sources import raster
 
-def rendered(pages_: DataFrame, draw: Callable[[str], bytes] | None = None) -> DataFrame:
-    """Adds image (bytes, path). Without a drawing function the page is a plain-text bitmap header only, as no imaging
-    library is required here; pass one that returns an encoded image to draw pixels."""
-    draw = draw or (lambda t: b"P1\n# " + t.encode().replace(b"\n", b" ")[:60] + b"\n1 1\n0\n")
+    g = geometry(c)
+    found = None
+    if fonts is not None and font is not None:
+        found = fonts.where(F.col("path") == font).first()
+    shapes = raster.Glyphs.load(bytes(found["content"]) if found and found["codepoints"] else None, g["font_size"])
+    held = pages_.sparkSession.sparkContext.broadcast(shapes)
+
+    def page(text: str, top: int, background, ink: str) -> bytes:
+        if draw is not None:
+            return draw(text, top, {"bg_color": tuple(background.values()), "font_color": ink})
+        glyphs = held.value
+        measure = glyphs.measure()
+        advance = fitting(1, g["height"], measure.line_height, "top")[1]
+        canvas = raster.canvas(g["width"], g["height"], tuple(background[x] for x in "rgb"))
+        for i, line in enumerate(text.split("\n")):
+            x = line_x(c.horizontal_alignment, g["width"], g["margin"], measure.width(line))
+            glyphs.draw(canvas, line, int(x), top + i * advance, NAMED_COLORS[ink])
+        return raster.png(canvas, c.image_dpi)
 
     @F.pandas_udf("binary")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(draw)
+    def run(texts: pd.Series, tops: pd.Series, backgrounds: pd.DataFrame, inks: pd.Series) -> pd.Series:
+        return pd.Series([page(t, int(y), b, k) for t, y, b, k in zip(texts, tops, backgrounds.to_dict("records"), inks, strict=True)])
 
-    return pages_.withColumn("image", F.struct(run("text").alias("bytes"), F.lit(None).cast("string").alias("path")))
+    image = run("text", "top", "bg_color", "font_color")
+    return pages_.withColumn("image", F.struct(image.alias("bytes"), F.lit(None).cast("string").alias("path")))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.operators.order import ordered_rank
+
 
 def positional_zip(left: DataFrame, right: DataFrame, left_order: str, right_order: str) -> DataFrame:
-    """Rows paired by their place in either order. Unequal counts are an error; both sides are listings of files."""
+    """Rows paired by their place in either order. Unequal counts are an error."""
     if (a := left.count()) != (b := right.count()):
         raise ValueError(f"{a} rows against {b}")
-    one = left.withColumn("pos", F.row_number().over(Window.orderBy(left_order)))
-    two = right.withColumn("pos", F.row_number().over(Window.orderBy(right_order)))
-    return one.join(two, "pos")
+    return ordered_rank(left, left_order).join(ordered_rank(right, right_order), "pos")
 
 
 def stem(path: Column | str) -> Column:
@@ -30,7 +30,11 @@ def content(kind: str, text: Column) -> Column:
     return F.struct(F.lit(kind).alias("type"), text.alias("text"))
 
 
-def ocr_messages(text: Column | str, before: str = "Answer briefly.", after: str = "OCR this image accurately.") -> Column:
+#: What the user asks before and after the image.
+BEFORE, AFTER = "Answer briefly.", "OCR this image accurately."
+
+
+def ocr_messages(text: Column | str, before: str = BEFORE, after: str = AFTER) -> Column:
     """The user's turn (instruction, image, instruction) and the assistant's (the text)."""
     none = F.lit(None).cast("string")
     ask = F.array(content("text", F.lit(before)), content("image", none), content("text", F.lit(after)))
@@ -71,9 +75,15 @@ def tokens_per_step(batch: int, accumulation: int, length: int) -> int:
     return batch * accumulation * length
 
 
-def steps(rows: int, batch: int, accumulation: int, epochs: int) -> int:
-    """Optimizer steps: whole batches only, then times epochs."""
-    return rows // (batch * accumulation) * epochs
+def steps(rows, batch: int, accumulation: int, epochs: int):
+    """Optimizer steps: whole batches only, then times epochs. rows is a number or a column."""
+    each = batch * accumulation
+    return F.floor(rows / each) * epochs if isinstance(rows, Column) else rows // each * epochs
+
+
+def sample_key(place: Column) -> Column:
+    """The name under which the sample generated for a prompt is logged."""
+    return F.format_string("eval_sample_%d", place)
 
 
 def running_tokens(log: DataFrame, run: str, step: str, each: int) -> DataFrame:

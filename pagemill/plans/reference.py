@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagemill.config import PackConfig, PageConfig
-from pagemill.functions.pytext import NOT_SPACE, sql_hash, sql_strip, strip, words
+from pagemill.functions.pytext import NOT_SPACE, SPACE, lstrip, sql_hash, sql_strip, strip, words
 from pagemill.operators import order, packing, pages, records
+from pagemill.sources import files
 from pagemill.streaming.tokens import growing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,7 +52,31 @@ def rename_project(spark, sf):
 
 @query("SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'en'")
 def split_scan(spark, sf):
-    return t(spark, sf, "documents").where("lang = 'en'").select("doc_id", "lang", "n_chars")
+    """One part of a named corpus, its other columns dropped."""
+    return files.corpus(spark, sf, "documents.parquet", "en", "lang").drop("text", "source")
+
+
+@query("SELECT doc_id, lang, n_chars FROM documents")
+def all_splits_scan(spark, sf):
+    return files.corpus(spark, sf, "documents.parquet").drop("text", "source")
+
+
+@query("SELECT conv_id, turn, to_json({'file_name': conv_id || '-' || turn || '.jpg', 'text': text}) AS line FROM conversations")
+def json_manifest(spark, sf):
+    """The lines of a manifest."""
+    name = F.concat(F.col("conv_id"), F.lit("-"), F.col("turn"), F.lit(".jpg")).alias("file_name")
+    return t(spark, sf, "conversations").select("conv_id", "turn", F.to_json(F.struct(name, "text"), {"ignoreNullFields": "false"}).alias("line"))
+
+
+@query("SELECT doc_id, regexp_replace(text, '^' || ? || '+', '') AS text FROM documents".replace("'^' || ? || '+'", "'^" + SPACE + "+'"))
+def lstrip_text(spark, sf):
+    return _numbered(spark, sf).select("doc_id", lstrip("text").alias("text"))
+
+
+@query("SELECT item_id, 'eval_sample_' || (row_number() OVER (ORDER BY item_id) - 1) AS name FROM benchmark")
+def sample_names(spark, sf):
+    items = order.ordered_rank(t(spark, sf, "benchmark").select("item_id"), "item_id")
+    return items.select("item_id", records.sample_key(F.col("pos") - 1).alias("name"))
 
 
 @query("SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 100")
@@ -80,9 +105,10 @@ def drawn_lines(spark, sf):
     return records.drawn(("First line.", "Second line."), 50, 42, spark)
 
 
-@query("SELECT doc_id, CAST(12 AS INTEGER) AS font_size, CAST(512 AS INTEGER) AS image_width, 'top' AS vertical FROM documents")
+@query(f"SELECT doc_id, CAST(12 AS INTEGER) AS font_size, CAST(512 AS INTEGER) AS image_width, CAST(512 AS INTEGER) AS image_height, CAST(72 AS INTEGER) AS image_dpi, 'center' AS text_vertical_alignment, 'left' AS text_horizontal_alignment, (['black', 'darkblue', 'darkred', 'darkgreen', 'brown'])[{sql_hash("'42:color'")} % 5 + 1] AS font_color FROM documents")
 def constant_columns(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", F.lit(12).alias("font_size"), F.lit(512).alias("image_width"), F.lit("top").alias("vertical"))
+    one = t(spark, sf, "documents").select("doc_id", F.lit(0).alias("chunk_ix"), F.lit(0).alias("page_ix"))
+    return pages.attributed(one, PageConfig()).drop("chunk_ix", "page_ix", "bg_color", "font_path")
 
 
 # Chunks --------------------------------------------------------------------------------------------------------------
@@ -121,8 +147,7 @@ def sentence_chunks_native(spark, sf):
 
 @query(_chunk_sql(CHUNK, ", per AS (SELECT doc_id, count(*) AS n FROM chunks GROUP BY doc_id) SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS chunks, CAST(sum(greatest(n - 1, 0)) AS BIGINT) AS total_splits FROM per"))
 def chunk_totals(spark, sf):
-    n = F.size(pages.chunk_column("text", CHUNK))
-    per = _numbered(spark, sf).where("text IS NOT NULL").select(n.alias("n")).where("n > 0")
+    per = pages.chunk_counts(_numbered(spark, sf), CHUNK).where("n > 0")
     return per.agg(F.count("*").alias("docs"), F.sum("n").cast("long").alias("chunks"), F.sum(F.greatest(F.col("n") - 1, F.lit(0))).cast("long").alias("total_splits"))
 
 
@@ -136,11 +161,8 @@ PAGE = PageConfig()
     "SELECT dpi, width, height, font_size, CAST(trunc(width * 0.9::DOUBLE) AS INTEGER) AS inner_width, CAST((width - CAST(trunc(width * 0.9::DOUBLE) AS INTEGER)) // 2 AS INTEGER) AS margin FROM g"
 )
 def page_geometry(spark, sf):
-    c = spark.createDataFrame([(d,) for d in (72, 96, 100, 150, 300)], "dpi int")
-    for name, size in (("width", 512), ("height", 400), ("font_size", 12)):
-        c = c.withColumn(name, (F.lit(size) * (F.col("dpi") / F.lit(72.0))).cast("int"))
-    c = c.withColumn("inner_width", (F.col("width") * F.lit(0.9)).cast("int"))
-    return c.withColumn("margin", F.expr("(width - inner_width) div 2").cast("int"))
+    rows = [(d, *pages.geometry(PageConfig(image_dpi=d, image_height=400)).values()) for d in (72, 96, 100, 150, 300)]
+    return spark.createDataFrame(rows, "dpi int, width int, height int, font_size int, inner_width int, margin int")
 
 
 @query(
@@ -149,50 +171,107 @@ def page_geometry(spark, sf):
     "CAST(CASE WHEN total <= 512 THEN n ELSE greatest(0, (512 - 12) // 14 + 1) END AS BIGINT) AS fit FROM m, (VALUES ('top'), ('bottom'), ('center')) a(align)"
 )
 def fitted_lines(spark, sf):
-    m = t(spark, sf, "documents").select("doc_id", (F.length("text") % 60).cast("long").alias("n")).withColumn("total", 12 * F.col("n") + 2 * (F.col("n") - 1))
-    m = m.withColumn("align", F.explode(F.array(F.lit("top"), F.lit("bottom"), F.lit("center"))))
-    room = F.greatest(F.lit(0), 512 - F.col("total"))
-    top = F.when(F.col("align") == "top", 0).when(F.col("align") == "bottom", room).otherwise(F.floor(room / 2))
-    return m.select("doc_id", "align", top.cast("long").alias("top"), F.when(F.col("total") <= 512, F.col("n")).otherwise(F.lit((512 - 12) // 14 + 1)).cast("long").alias("fit"))
+    rows = [(n, a, *pages.fitting(n, 512, 12, a)) for n in range(60) for a in ("top", "bottom", "center")]
+    fits = spark.createDataFrame(rows, "n int, align string, top long, advance long, fit long")
+    docs = t(spark, sf, "documents").select("doc_id", (F.length("text") % 60).alias("n"))
+    return docs.join(F.broadcast(fits), "n").select("doc_id", "align", "top", "fit")
 
 
 @query(
     "WITH l AS (SELECT doc_id, (length(text) % 60) * 7 AS w FROM documents) SELECT doc_id, a.align AS align, CAST(CASE a.align WHEN 'left' THEN 26 WHEN 'right' THEN 512 - 26 - w ELSE (512 - w) // 2 END AS BIGINT) AS x FROM l, (VALUES ('left'), ('right'), ('center')) a(align)"
 )
 def line_positions(spark, sf):
-    m = t(spark, sf, "documents").select("doc_id", ((F.length("text") % 60) * 7).alias("w")).withColumn("align", F.explode(F.array(F.lit("left"), F.lit("right"), F.lit("center"))))
-    x = F.when(F.col("align") == "left", 26).when(F.col("align") == "right", 512 - 26 - F.col("w")).otherwise(F.expr("(512 - w) div 2"))
-    return m.select("doc_id", "align", x.cast("long").alias("x"))
+    measure, margin = pages.FixedWidth(), pages.geometry(PAGE)["margin"]
+    rows = [(n, a, pages.line_x(a, 512, margin, measure.width("x" * n))) for n in range(60) for a in ("left", "right", "center")]
+    docs = t(spark, sf, "documents").select("doc_id", (F.length("text") % 60).alias("n"))
+    return docs.join(F.broadcast(spark.createDataFrame(rows, "n int, align string, x long")), "n").select("doc_id", "align", "x")
+
+
+#: Characters of 7 pixels that a line of the page holds, lines of 12 and 2 that it holds.
+WIDE = pages.geometry(PAGE)["inner_width"] // 7
+DEEP = (PAGE.image_height - 12) // 14 + 1
+
+#: Lines of all chunks: paragraphs in order, their words put together greedily.
+_LINES = (
+    _CHUNKS.replace("MOST", "2000")
+    + f""", para AS (SELECT doc_id, chunk_ix, unnest(range(len(ps))) AS k, unnest(ps) AS p, len(ps) AS many FROM (SELECT doc_id, chunk_ix, string_split(chunk, chr(10)) AS ps FROM chunks)),
+ws AS (SELECT doc_id, chunk_ix, k, many, regexp_extract_all(p, '{NOT_SPACE}+') AS w, replace(regexp_extract(p, '^{SPACE}*'), chr(9), '    ') AS indent FROM para),
+g AS (SELECT doc_id, chunk_ix, k, many, w, 1 AS i, CAST('' AS VARCHAR) AS line, CAST([] AS VARCHAR[]) AS done, indent FROM ws
+      UNION ALL
+      SELECT doc_id, chunk_ix, k, many, w, i + 1,
+             CASE WHEN i = 1 THEN indent || w[1] WHEN length(line) + 1 + length(w[i]) > {WIDE} THEN w[i] ELSE line || ' ' || w[i] END,
+             CASE WHEN i > 1 AND length(line) + 1 + length(w[i]) > {WIDE} THEN list_append(done, line) ELSE done END, indent
+      FROM g WHERE i <= len(w)),
+made AS (SELECT doc_id, chunk_ix, k, CASE WHEN len(w) = 0 THEN [''] WHEN k = many - 1 THEN list_append(done, line) ELSE list_concat(done, [line, '']) END AS ls FROM g WHERE i = len(w) + 1),
+whole AS (SELECT doc_id, chunk_ix, flatten(list(ls ORDER BY k)) AS ls FROM made GROUP BY doc_id, chunk_ix),
+lines AS (SELECT doc_id, chunk_ix, unnest(range(len(ls))) AS line_ix, unnest(ls) AS line FROM whole)
+"""
+)
 
 
-@query()
+@query(_LINES + "SELECT doc_id, CAST(chunk_ix AS INTEGER) AS chunk_ix, CAST(line_ix AS INTEGER) AS line_ix, line FROM lines")
 def wrap_fixed(spark, sf):
     return pages.wrapped(pages.chunked(_numbered(spark, sf), 2000), pages.geometry(PAGE)["inner_width"])
 
 
 def _pages(spark, sf, carry: str) -> DataFrame:
-    return pages.paginated(pages.chunked(_numbered(spark, sf), PAGE.max_text_length), PAGE, carry=carry)
+    return pages.laid_out(_numbered(spark, sf), PAGE, carry=carry)
+
+
+def _top_sql(n: str) -> str:
+    return f"CASE WHEN 12 * {n} + 2 * ({n} - 1) <= 512 THEN (512 - 12 * {n} - 2 * ({n} - 1)) // 2 ELSE 0 END"
+
+
+#: One line or one page in each step: `rest` is what the page begins with, `r` what of it is not yet a paragraph, `para` what of a
+#: paragraph is not yet a line.
+_BY_LENGTH = (
+    _CHUNKS.replace("MOST", "2000")
+    + f""", h AS (
+  SELECT doc_id, chunk_ix, CAST(-1 AS BIGINT) AS page_ix, chunk AS rest, chunk AS r, CAST(NULL AS VARCHAR) AS para, CAST([] AS VARCHAR[]) AS ls, CAST(NULL AS VARCHAR) AS page, CAST(NULL AS BIGINT) AS top FROM chunks WHERE chunk <> ''
+  UNION ALL
+  SELECT doc_id, chunk_ix, CASE WHEN full_ THEN page_ix + 1 ELSE page_ix END,
+         CASE WHEN full_ THEN next_ ELSE rest END,
+         CASE WHEN full_ THEN next_ WHEN para IS NULL THEN CASE WHEN instr(r, chr(10)) > 0 THEN substr(r, instr(r, chr(10)) + 1) END ELSE r END,
+         CASE WHEN full_ OR (para IS NULL AND first_ = '') THEN NULL WHEN para IS NULL THEN replace(regexp_extract(raw, '^{SPACE}*'), chr(9), '    ') || first_
+              WHEN length(para) > length(line_) THEN substr(para, length(line_) + 2) END,
+         CASE WHEN full_ THEN [] WHEN para IS NULL THEN CASE WHEN first_ = '' THEN list_append(ls, '') ELSE ls END
+              WHEN length(para) = length(line_) AND r IS NOT NULL THEN list_concat(ls, [line_, '']) ELSE list_append(ls, line_) END,
+         CASE WHEN full_ THEN shown END, CASE WHEN full_ THEN {_top_sql('len(ls)')} END
+  FROM (SELECT *, regexp_replace(substr(rest, length(shown) + 1), '^{SPACE}+', '') AS next_,
+               CASE WHEN length(para) <= {WIDE} THEN para WHEN instr(ltrim(left(para, {WIDE + 1})), ' ') = 0 THEN regexp_extract(para, '^ *[^ ]+') ELSE regexp_extract(left(para, {WIDE + 1}), '^(.*[^ ]) ', 1) END AS line_
+        FROM (SELECT *, len(ls) > {DEEP} OR (r IS NULL AND para IS NULL) AS full_,
+                     CASE WHEN instr(r, chr(10)) > 0 THEN left(r, instr(r, chr(10)) - 1) ELSE r END AS raw,
+                     array_to_string(regexp_extract_all(raw, '{NOT_SPACE}+'), ' ') AS first_,
+                     regexp_replace(array_to_string(ls[1:{DEEP}], chr(10)), '\n+$', '') AS shown
+              FROM h WHERE rest <> '' AND (page IS NULL OR page <> ''))))
+"""
+)
 
 
-@query()
+@query(_BY_LENGTH + "SELECT doc_id, CAST(chunk_ix AS INTEGER) AS chunk_ix, CAST(page_ix AS INTEGER) AS page_ix, page AS text, CAST(top AS INTEGER) AS top, CAST(len(string_split(page, chr(10))) AS INTEGER) AS lines FROM h WHERE page <> ''")
 def paginate_length(spark, sf):
     return _pages(spark, sf, "length")
 
 
-@query(f"SELECT doc_id, md5(array_to_string(regexp_extract_all(text, '{NOT_SPACE}+'), ' ')) AS digest FROM documents WHERE length({sql_strip('text')}) <= 2000 AND length({sql_strip('text')}) > 0")
-def paginate_source(spark, sf):
-    """Whatever pages a text of one chunk takes, its words come back in order."""
-    short = _numbered(spark, sf).where(F.length(strip("text")).between(1, 2000))
-    laid = pages.paginated(pages.chunked(short, 2000), PAGE, carry="source")
-    back = laid.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_ix", "text"))), lambda x: x["text"]), "\n").alias("text"))
-    return back.select("doc_id", F.md5(F.array_join(words(F.col("text")), " ").cast("binary")).alias("digest"))
+#: Pages of the lines: each begins at the next line that is not blank.
+_BY_SOURCE = (
+    _LINES
+    + f""", q AS (
+  SELECT doc_id, chunk_ix, CAST(-1 AS BIGINT) AS page_ix, ls, CAST([] AS VARCHAR[]) AS shown, CAST(0 AS BIGINT) AS left_ FROM whole
+  UNION ALL
+  SELECT doc_id, chunk_ix, page_ix + 1, list_slice(body, {DEEP} + 1, len(body)), list_slice(body, 1, {DEEP}), len(body)
+  FROM (SELECT *, list_slice(ls, list_position(list_transform(ls, lambda x: x <> ''), true), len(ls)) AS body FROM q WHERE len(list_filter(ls, lambda x: x <> '')) > 0)),
+laid AS (SELECT doc_id, CAST(chunk_ix AS INTEGER) AS chunk_ix, CAST(page_ix AS INTEGER) AS page_ix, regexp_replace(array_to_string(shown, chr(10)), '\n+$', '') AS text, CAST({_top_sql('left_')} AS INTEGER) AS top FROM q WHERE page_ix >= 0)
+"""
+)
 
 
-@query()
-def paginate_source_all(spark, sf):
-    """As paginate_source, of all texts: the words of all chunks and pages in order."""
+@query(f"SELECT doc_id, md5(array_to_string(regexp_extract_all(CASE WHEN length({sql_strip('text')}) > 2000 THEN replace(text, '|', ' ') ELSE text END, '{NOT_SPACE}+'), ' ')) AS digest FROM documents WHERE length({sql_strip('text')}) > 0")
+def paginate_source(spark, sf):
+    """Whatever chunks and pages a text takes, its words come back in order (where a text is cut, bars end sentences and go)."""
     laid = _pages(spark, sf, "source")
-    back = laid.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk_ix", "page_ix", "text"))), lambda x: x["text"]), "\n").alias("text"))
+    parts = F.sort_array(F.collect_list(F.struct("chunk_ix", "page_ix", "text")))
+    back = laid.groupBy("doc_id").agg(F.array_join(F.transform(parts, lambda x: x["text"]), "\n").alias("text"))
     return back.select("doc_id", F.md5(F.array_join(words(F.col("text")), " ").cast("binary")).alias("digest"))
 
 
@@ -219,12 +298,17 @@ def font_coverage(spark, sf):
     return _numbered(spark, sf).select("doc_id", covers(packing.codepoints("text"), "áðéíóúýþæö").alias("covered"))
 
 
-@query()
+@query(
+    _BY_SOURCE
+    + f"SELECT doc_id, chunk_ix, page_ix, text, top, CAST(len(string_split(text, chr(10))) AS INTEGER) AS lines, 'default' AS font_path, {_rgb_sql("'42:' || doc_id || ':' || chunk_ix || ':' || page_ix")}, "
+    f"(['black', 'darkblue', 'darkred', 'darkgreen', 'brown'])[{sql_hash(chr(39) + '42:color' + chr(39))} % 5 + 1] AS font_color, CAST(12 AS INTEGER) AS font_size, CAST(512 AS INTEGER) AS image_width, CAST(512 AS INTEGER) AS image_height, CAST(72 AS INTEGER) AS image_dpi, "
+    f"CASE WHEN {sql_hash(chr(39) + '42:' + chr(39) + ' || doc_id')} % 10 < 8 THEN 'train' WHEN {sql_hash(chr(39) + '42:' + chr(39) + ' || doc_id')} % 10 = 8 THEN 'test' ELSE 'validation' END AS split FROM laid"
+)
 def page_manifest(spark, sf):
     """The flagship: chunks, pages, attributes and splits of all documents."""
     laid = _pages(spark, sf, "source")
     split = order.by_document(pages.attributed(laid, PAGE), "doc_id")
-    return split.select("doc_id", "chunk_ix", "page_ix", "text", "lines", "font_path", "bg_color", "font_color", "font_size", "image_width", "image_height", "image_dpi", "split")
+    return split.select("doc_id", "chunk_ix", "page_ix", "text", "top", "lines", "font_path", "bg_color.*", "font_color", "font_size", "image_width", "image_height", "image_dpi", "split")
 
 
 # Splits --------------------------------------------------------------------------------------------------------------
@@ -262,7 +346,7 @@ def token_counts(spark, sf):
 
 def _packed_sql(limit: str) -> str:
     return (
-        "WITH d AS (SELECT doc_id, list_append(list_transform(string_split(text, ''), lambda c: CAST(unicode(c) AS INTEGER)), 0) AS ids FROM documents WHERE text <> ''), "
+        "WITH d AS (SELECT doc_id, list_append(list_transform(list_filter(string_split(text, ''), lambda c: c <> ''), lambda c: CAST(unicode(c) AS INTEGER)), 0) AS ids FROM documents WHERE text IS NOT NULL), "
         "u AS (SELECT doc_id, unnest(ids) AS id, unnest(range(len(ids))) AS i FROM d), o AS (SELECT doc_id, coalesce(sum(len(ids)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM d), "
         "g AS (SELECT CAST(o.o + i AS BIGINT) AS p, id FROM u JOIN o USING (doc_id)), b AS (SELECT p // 512 AS block, count(*) AS n, md5(string_agg(CAST(id AS VARCHAR), ',' ORDER BY p)) AS digest FROM g GROUP BY 1) "
         f"SELECT CAST(block AS BIGINT) AS block, digest FROM b WHERE n = 512 {limit}"
@@ -270,8 +354,7 @@ def _packed_sql(limit: str) -> str:
 
 
 def _blocks(spark, sf) -> DataFrame:
-    docs = _numbered(spark, sf).where("text <> ''").select("doc_id", packing.codepoints("text").alias("ids"))
-    return packing.packed(docs, 512)
+    return packing.packed(_numbered(spark, sf), 512, ids=packing.codepoints("text"), count=F.length("text"))
 
 
 def _digested(blocks: DataFrame) -> DataFrame:
@@ -294,9 +377,9 @@ def decode_tokens(spark, sf):
     return _numbered(spark, sf).select("doc_id", F.md5(back.cast("binary")).alias("digest"))
 
 
-@query("SELECT conv_id, turn, array_to_string(list_transform(list_transform(string_split(text, ''), lambda c: unicode(c)), lambda x: CASE WHEN x IN (32, 46) THEN -100 ELSE x END), ',') AS labels FROM conversations WHERE text <> ''")
+@query("SELECT conv_id, turn, array_to_string(list_transform(list_transform(list_filter(string_split(text, ''), lambda c: c <> ''), lambda c: unicode(c)), lambda x: CASE WHEN x IN (32, 46) THEN -100 ELSE x END), ',') AS labels FROM conversations")
 def label_mask(spark, sf):
-    c = t(spark, sf, "conversations").where("text <> ''")
+    c = t(spark, sf, "conversations")
     return c.select("conv_id", "turn", F.array_join(F.transform(packing.masked(packing.codepoints("text"), 32, 46), lambda x: x.cast("string")), ",").alias("labels"))
 
 
@@ -319,16 +402,8 @@ def positional_zip(spark, sf):
     return records.positional_zip(items, docs, "item_id", "doc_id").select(F.col("pos").cast("long").alias("pos"), "item_id", "doc_id")
 
 
-@query("SELECT coalesce(CAST(b.item_id AS VARCHAR), CAST(d.doc_id AS VARCHAR)) AS stem, b.item_id IS NOT NULL AND d.doc_id IS NOT NULL AS matched FROM benchmark b FULL JOIN (SELECT doc_id FROM documents WHERE doc_id < 60) d ON b.item_id = d.doc_id")
+@query("SELECT coalesce(CAST(b.item_id AS VARCHAR), CAST(d.doc_id AS VARCHAR)) AS stem, b.item_id IS NOT NULL AND d.doc_id IS NOT NULL AS matched FROM benchmark b FULL JOIN documents d ON b.item_id = d.doc_id")
 def stem_pairs(spark, sf):
-    a = t(spark, sf, "benchmark").select(F.concat(F.lit("x/"), F.col("item_id"), F.lit(".jpg")).alias("image"))
-    b = t(spark, sf, "documents").where("doc_id < 60").select(F.concat(F.lit("y/"), F.col("doc_id"), F.lit(".txt")).alias("script"))
-    return records.stem_pairs(a, b, "image", "script").select("stem", "matched")
-
-
-@query()
-def stem_pairs_all(spark, sf):
-    """As stem_pairs, of all documents."""
     a = t(spark, sf, "benchmark").select(F.concat(F.lit("x/"), F.col("item_id"), F.lit(".jpg")).alias("image"))
     b = t(spark, sf, "documents").select(F.concat(F.lit("y/"), F.col("doc_id"), F.lit(".txt")).alias("script"))
     return records.stem_pairs(a, b, "image", "script").select("stem", "matched")
@@ -411,7 +486,7 @@ def latest_checkpoints(spark, sf):
 @query("SELECT o_custkey, CAST(count(*) // 4 * 3 AS BIGINT) AS steps, CAST(4 AS INTEGER) AS effective_batch FROM orders GROUP BY o_custkey")
 def step_plan(spark, sf):
     per = t(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
-    return per.select("o_custkey", F.expr("n div 4 * 3").alias("steps"), F.lit(2 * 2).alias("effective_batch"))
+    return per.select("o_custkey", records.steps(F.col("n"), 2, 2, 3).alias("steps"), F.lit(records.tokens_per_step(2, 2, 1)).alias("effective_batch"))
 
 
 @query("SELECT l_orderkey, round(sum(l_extendedprice) / 1073741824.0, 12) AS gb FROM lineitem GROUP BY l_orderkey")

@@ -15,10 +15,10 @@ from pagemill.functions.pytext import strip
 GOLD = T.StructType([T.StructField("file_name", T.StringType()), T.StructField("text", T.StringType())])
 
 
-def corpus(spark: SparkSession, root: str, config: str = "", split: str | None = None) -> DataFrame:
-    """A Parquet corpus; with a split only that partition is read, without one all are."""
+def corpus(spark: SparkSession, root: str, config: str = "", split: str | None = None, by: str = "split") -> DataFrame:
+    """A Parquet corpus; with a split only its rows (where `by` partitions the files: its files) are read, without one all are."""
     df = spark.read.parquet(f"{root}/{config}" if config else root)
-    return df if split is None else df.where(F.col("split") == split)
+    return df if split is None else df.where(F.col(by) == split)
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType = GOLD) -> DataFrame:
@@ -38,18 +38,24 @@ def images(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fonts(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """(path, codepoints, units_per_em, advances) of the *.ttf files under the folders that exist, whatever their case."""
+    """(path, content, codepoints, units_per_em, advances, line_units) of the *.ttf files under the folders that exist, whatever
+    their case. An A above a g is line_units high. A broken file has no code points."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     there = [f for f in folders if (p := hadoop(f)).getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)]
     if not there:
-        return spark.createDataFrame([], "path string, codepoints array<int>, units_per_em int, advances array<int>")
+        return spark.createDataFrame([], "path string, content binary, codepoints array<int>, units_per_em int, advances array<int>, line_units int")
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.[tT][tT][fF]").option("recursiveFileLookup", "true").load(there)
 
-    @F.pandas_udf("struct<codepoints:array<int>,units_per_em:int,advances:array<int>>")
+    @F.pandas_udf("struct<codepoints:array<int>,units_per_em:int,advances:array<int>,line_units:int>")
     def read(contents: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([font_tables(c) for c in contents], columns=["codepoints", "units_per_em", "advances"])
+        return pd.DataFrame([(*font_tables(c), line_units(c)) for c in contents], columns=["codepoints", "units_per_em", "advances", "line_units"])
 
-    return raw.select("path", read("content").alias("f")).select("path", "f.*")
+    return raw.select("path", "content", read("content").alias("f")).select("path", "content", "f.*")
+
+
+def usable_fonts(found: DataFrame, letters: str | None = None, strict: bool = False) -> DataFrame:
+    """(path) of the fonts that cover the letters; and how many there are is .count()."""
+    return found.where(covers("codepoints", ICELANDIC if letters is None else letters, strict)).select("path")
 
 
 def font_tables(data: bytes) -> tuple[list[int], int, list[int]]:
@@ -67,6 +73,24 @@ def font_tables(data: bytes) -> tuple[list[int], int, list[int]]:
         return [], 0, []
 
 
+def glyph_ids(data: bytes) -> dict[int, int]:
+    """The glyph of each code point."""
+    count = struct.unpack_from(">H", data, 4)[0]
+    at = {data[12 + 16 * i : 16 + 16 * i]: struct.unpack_from(">II", data, 20 + 16 * i)[0] for i in range(count)}
+    return dict(_glyphs(data, at[b"cmap"]))
+
+
+def line_units(data: bytes) -> int:
+    """From the top of A to the foot of g, in font units; 0 where the font has no such outlines."""
+    from pagemill.sources.raster import Outlines
+
+    try:
+        outlines, ids = Outlines(data), glyph_ids(data)
+        return max(0, outlines.box(ids[ord("A")])[3] - outlines.box(ids[ord("g")])[1])
+    except (KeyError, struct.error, ValueError, IndexError):
+        return 0
+
+
 def _glyphs(data: bytes, cmap: int) -> Iterator[tuple[int, int]]:
     """(code point, glyph) of the Unicode tables of formats 4 and 12."""
     for i in range(struct.unpack_from(">H", data, cmap + 2)[0]):
@@ -107,29 +131,40 @@ def save_splits(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
-def save_json_lines(df: DataFrame, path: str) -> None:
-    """One object a line, in one file: for manifests, which are small."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+def save_json_lines(df: DataFrame, path: str, one_file: bool = False) -> None:
+    """One object a line, by as many tasks as the table has; one_file is for manifests, which are small."""
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").json(path)
 
 
 def append_metrics(df: DataFrame, path: str) -> None:
+    """Adds rows to a table of metrics; read it again with corpus()."""
     df.write.mode("append").parquet(path)
 
 
-def copy_missing(files: DataFrame, there: DataFrame, folder: str) -> DataFrame:
-    """Writes the bytes of files (file_name, bytes) that `there` (file_name) lacks; returns the names. The folder must be one
-    that all executors share."""
-
-    def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pathlib
-
-        for b in batches:
-            for name, data in zip(b["file_name"], b["bytes"], strict=True):
-                if not (to := pathlib.Path(folder, name)).exists():
-                    to.write_bytes(data)
-            yield b[["file_name"]]
-
-    return files.join(there.select("file_name"), "file_name", "left_anti").select("file_name", "bytes").mapInPandas(put, "file_name string")
+def sample(splits: DataFrame, split: str = "train", n: int = 1, text: str = "text") -> list[str]:
+    """The first texts of a split, for a look at them; none of a split without rows."""
+    return [r[0] for r in splits.where(F.col("split") == split).select(text).limit(n).collect()]
+
+
+def copy_missing(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame:
+    """Copies the files of a listing (file_name, path) that the folder lacks, whatever file systems these are on; returns
+    (file_name, copied). A listing is small: names are read by the driver, and the bytes of what is missing go through it one
+    file after the other, each to a name of its own first, so that a half copied file never stands under the right one."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    to = path(folder)
+    there = to.getFileSystem(conf)
+    there.mkdirs(to)
+    have = {s.getPath().getName() for s in there.listStatus(to)}
+    rows = []
+    for r in files.select("file_name", "path").orderBy("file_name").collect():
+        if missing := r.file_name not in have:
+            source, part = path(r.path), path(to, f".{r.file_name}.part")
+            jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, there, part, False, True, conf)
+            there.rename(part, path(to, r.file_name))
+            have.add(r.file_name)
+        rows.append((r.file_name, missing))
+    return spark.createDataFrame(rows, "file_name string, copied boolean")
 
 
 def decoded(image_bytes: Column | str) -> Column:

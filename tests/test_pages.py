@@ -49,6 +49,41 @@ def test_source_carry_loses_nothing(text):
     assert " ".join(shown).split() == text.split()
 
 
+@pytest.mark.parametrize("text", ["\n\n\n?", "\n" * 50 + "a b", " \n\t\n a\n\n\n\n\nb", "\n\n\n"])
+def test_source_carry_passes_blank_pages(text):
+    m = pages.FixedWidth(7, 12)
+    shown = [p for p, _, _ in pages.pages(text, m, 70, 40, carry="source")]
+    assert " ".join(shown).split() == text.split()
+    assert list(pages.pages(text, m, 70, 5, carry="source")) == []  # no line fits
+
+
+def test_length_carry_ends_at_a_blank_page():
+    m = pages.FixedWidth(7, 12)
+    assert list(pages.pages("\n\n\n?", m, 70, 40)) == []
+
+
+@given(TEXT, st.integers(0, 90))
+@settings(max_examples=300, deadline=None)
+def test_wrap_against_words_one_by_one(text, most):
+    """The lines made by measuring each longer line as a whole."""
+    m, want = pages.TableWidth({ord("a"): 3.0, ord("b"): 7.0, 32: 2.0}, 5.0, 10), []
+    paragraphs = text.split("\n")
+    for k, paragraph in enumerate(paragraphs):
+        if not paragraph.strip():
+            want.append("")
+            continue
+        bare = paragraph.lstrip()
+        indent, line = paragraph[: len(paragraph) - len(bare)].replace("\t", "    "), ""
+        for word in bare.split():
+            longer = f"{line} {word}" if line else indent + word
+            if line and m.width(longer) > most:
+                want.append(line)
+                longer = word
+            line = longer
+        want += [line] if k == len(paragraphs) - 1 else [line, ""]
+    assert [x for x, _ in pages.wrap(text, m, most)] == want
+
+
 @given(TEXT, st.sampled_from(["top", "bottom", "center"]))
 @settings(max_examples=200, deadline=None)
 def test_pages_end_and_fit(text, align):
@@ -80,6 +115,11 @@ def test_page_too_short_for_a_line():
     assert list(pages.pages("abc", pages.FixedWidth(7, 12), 70, 5)) == []
 
 
+def test_defaults_are_those_of_the_data_set():
+    c = PageConfig()
+    assert (c.vertical_alignment, c.random_fonts, c.max_entries, c.horizontal_alignment) == ("center", True, 400, "left")
+
+
 def test_configuration():
     assert from_arguments(PageConfig, ["image_dpi=144", "random_fonts=true", "max_width_ratio=0.5"]).image_dpi == 144
     assert pages.geometry(PageConfig(image_dpi=144)) == {"width": 1024, "height": 1024, "font_size": 24, "inner_width": 921, "margin": 51}
@@ -89,6 +129,23 @@ def test_configuration():
     assert from_arguments(GoldConfig, []).text_dir == "text"
 
 
+def test_functions_run_once_for_a_row(spark):
+    df = spark.createDataFrame([(1, "One two. Three four. " * 30)], "doc_id long, text string")
+    c = PageConfig(max_text_length=100, image_width=60, image_height=40)
+    one, two = pages.laid_out(df, c), pages.paginated(pages.chunked(df, 100), c)
+    for laid, runs in ((one, 1), (two, 2)):
+        plan = laid._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow ") == runs and "ArrowEvalPython" not in plan
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.select(*one.columns).collect()))
+
+
+def test_many_rows_of_one_text_go_out_in_batches(spark, monkeypatch):
+    monkeypatch.setattr(pages, "BATCH", 3)
+    df = spark.createDataFrame([(1, "a|b|c|d|e|f|g"), (2, None), (3, ""), (4, "x")], "doc_id long, text string")
+    got = sorted(map(tuple, pages.chunked(df, 1).collect()))
+    assert got == [(1, i, x) for i, x in enumerate("abcdefg")] + [(3, 0, ""), (4, 0, "x")]
+
+
 def test_spark_chunks_agree(spark):
     rows = [(i, t) for i, t in enumerate(["", None, " a. b! c? d|e ", "x" * 50, "One. Two. Three. " * 5, "\t\n"])]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -69,7 +69,8 @@ def test_text_and_json_files(spark, tmp_path):
     (tmp_path / "c.md").write_text("no")
     got = files.texts(spark, str(tmp_path)).orderBy("file_name")
     assert [tuple(r) for r in got.collect()] == [("a.txt", "y"), ("b.txt", "þorn\nx")]
-    files.save_json_lines(got, str(tmp_path / "out"))
+    files.save_json_lines(got, str(tmp_path / "out"), one_file=True)
+    assert len(list((tmp_path / "out").glob("part-*"))) == 1
     assert files.json_lines(spark, str(tmp_path / "out")).orderBy("file_name").collect() == got.collect()
     split = got.withColumn("split", F.when(F.col("file_name") == "a.txt", "train").otherwise("test"))
     files.save_splits(split, str(tmp_path / "split"))
@@ -77,10 +78,30 @@ def test_text_and_json_files(spark, tmp_path):
 
 
 def test_copy_is_idempotent(spark, tmp_path):
-    df = spark.createDataFrame([("a.jpg", b"1"), ("b.jpg", b"2")], "file_name string, bytes binary")
-    have = spark.createDataFrame([("a.jpg",)], "file_name string")
-    assert [r[0] for r in files.copy_missing(df, have, str(tmp_path)).collect()] == ["b.jpg"]
-    assert (tmp_path / "b.jpg").read_bytes() == b"2" and not (tmp_path / "a.jpg").exists()
+    (tmp_path / "from").mkdir()
+    for name in ("a.jpg", "b.jpg"):
+        (tmp_path / "from" / name).write_bytes(name.encode())
+    (tmp_path / "to").mkdir()
+    (tmp_path / "to" / "a.jpg").write_bytes(b"mine")
+    listing = files.images(spark, str(tmp_path / "from"))
+    for want in ([("a.jpg", False), ("b.jpg", True)], [("a.jpg", False), ("b.jpg", False)]):
+        assert [tuple(r) for r in files.copy_missing(spark, listing, str(tmp_path / "to")).orderBy("file_name").collect()] == want
+    assert (tmp_path / "to" / "b.jpg").read_bytes() == b"b.jpg" and (tmp_path / "to" / "a.jpg").read_bytes() == b"mine"
+
+
+def test_image_files(spark, tmp_path):
+    for name in ("a.jpg", "b.jpg", "c.png"):
+        (tmp_path / name).write_bytes(name.encode())
+    got = files.images(spark, str(tmp_path)).orderBy("file_name").collect()
+    assert [(r.file_name, bytes(r.bytes)) for r in got] == [("a.jpg", b"a.jpg"), ("b.jpg", b"b.jpg")] and got[0].path.endswith("/a.jpg")
+
+
+def test_metrics_and_samples(spark, tmp_path):
+    df = spark.createDataFrame([(1, "train", "x"), (2, "test", "y")], "step long, split string, text string")
+    for _ in range(2):
+        files.append_metrics(df, str(tmp_path / "metrics"))
+    assert files.corpus(spark, str(tmp_path / "metrics")).count() == 4
+    assert files.sample(df) == ["x"] and files.sample(df, "validation") == []
 
 
 def test_fonts(spark):
