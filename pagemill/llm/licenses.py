@@ -1,11 +1,13 @@
 """License scans by an exact set-similarity join of text blocks with license templates.
 
-A block is a line, or consecutive words across line ends (notices are wrapped): as many as the template has, and a tenth more.
+A block is as many consecutive words as the template has, and a tenth more, whatever lines they stand in (notices are wrapped);
+every such block of a text is looked at, and words that lie further apart are no notice.
 A template of n distinct tokens is contained in a block if at least ceil(t * n) of them occur there. Tokens
-are put into one global order, rarest first, by the number of lines that hold them in the whole corpus, which Spark counts.
-Then a block that contains a template holds one of the template's first n - ceil(t * n) + 1 tokens (the prefix filter); it
-has at least ceil(t * n) template tokens (the length filter); and after its first shared token, at place i of the template and
-j of the block, enough tokens are left in both (the positional filter). What passes is counted exactly, so none is missed.
+are put into one global order, rarest first, by the number of texts that hold them in the whole corpus, which Spark counts.
+Then a block that contains a template holds one of the template's first n - ceil(t * n) + 1 tokens (the prefix filter), so only
+the neighbourhoods of such tokens are read; there stand at least ceil(t * n) template tokens (the length filter); and after the
+first shared token, at place i of the template and j of the neighbourhood, enough tokens are left in both (the positional filter).
+In what passes the blocks are counted exactly, so none is missed.
 
 Only tokens of templates can match, so the order is kept for those alone; templates are a fixed list of bounded size.
 """
@@ -43,6 +45,24 @@ TEMPLATES = [
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
     ("all-rights-reserved", "All rights reserved."),
+    (
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    ),
+    (
+        "bsd",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above "
+        "copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+        "the documentation and/or other materials provided with the distribution.",
+    ),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    (
+        "apache",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+        "See the License for the specific language governing permissions and limitations under the License.",
+    ),
 ]
 #: The share of a template's tokens that a block must hold: NUM / DEN.
 NUM, DEN = 9, 10
@@ -56,9 +76,9 @@ def tokens(text: bytes) -> list[bytes]:
 class Index:
     """The templates' prefixes under one order of tokens."""
 
-    def __init__(self, templates: list[tuple[str, str]], blocks_with: dict[bytes, int], num: int = NUM, den: int = DEN):
+    def __init__(self, templates: list[tuple[str, str]], texts_with: dict[bytes, int], num: int = NUM, den: int = DEN):
         sets = [(label, set(tokens(t.encode()))) for label, t in templates]
-        vocabulary = sorted(set().union(*(s for _, s in sets)), key=lambda w: (blocks_with.get(w, 0), w))
+        vocabulary = sorted(set().union(*(s for _, s in sets)), key=lambda w: (texts_with.get(w, 0), w))
         self.rank = {w: i for i, w in enumerate(vocabulary)}
         self.labels = [label for label, _ in sets]
         self.sorted = [sorted(self.rank[w] for w in s) for _, s in sets]
@@ -89,43 +109,65 @@ class Index:
         return out
 
     def across(self, words: list[bytes]) -> dict[int, int]:
-        """Templates contained in consecutive words, whatever lines these stand in, with the most tokens shared at one place."""
-        mine = [(p, self.rank[w]) for p, w in enumerate(words) if w in self.rank]
-        held = {w for _, w in mine}
-        out = {}
-        for t in {t for w in held for t, _ in self.postings.get(w, ())}:
-            if len(self.sets[t] & held) < self.needed[t]:
-                continue
-            inside, count, best = deque(), Counter(), 0
-            for p, w in mine:
-                if w in self.sets[t]:
-                    inside.append((p, w))
-                    count[w] += 1
-                    while p - inside[0][0] >= self.spans[t]:
-                        _, old = inside.popleft()
-                        count[old] -= 1
-                        if not count[old]:
-                            del count[old]
-                    best = max(best, len(count))
-            if best >= self.needed[t]:
-                out[t] = best
+        """Templates contained in consecutive words, with the most tokens shared at one place."""
+        out: dict[int, int] = {}
+        for start, stop in self.neighbourhoods(words):
+            near = words[start:stop]
+            mine = [(p, self.rank[w]) for p, w in enumerate(near) if w in self.rank]
+            for t in self.matches(set(near)):
+                inside, count, best = deque(), Counter(), 0
+                for p, w in mine:
+                    if w in self.sets[t]:
+                        inside.append((p, w))
+                        count[w] += 1
+                        while p - inside[0][0] >= self.spans[t]:
+                            _, old = inside.popleft()
+                            count[old] -= 1
+                            if not count[old]:
+                                del count[old]
+                        best = max(best, len(count))
+                if best >= self.needed[t]:
+                    out[t] = max(best, out.get(t, 0))
         return out
 
+    def neighbourhoods(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
+        """Ranges of words that hold every block with a prefix token."""
+        wide, start, stop = max(self.spans, default=0), 0, 0
+        for p, w in enumerate(words):
+            if w in self.first_words:
+                if p - wide + 1 > stop and stop:
+                    yield start, stop
+                    stop = 0
+                if not stop:
+                    start = max(0, p - wide + 1)
+                stop = min(len(words), p + wide)
+        if stop:
+            yield start, stop
+
 
 def _frequencies(vocabulary: frozenset[bytes]):
-    """By token of the vocabulary: the blocks that hold it."""
+    """By token of the vocabulary: the texts that hold it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter = Counter()
         for b in batches:
             for text in byte_texts(b.column(0)):
-                for line in text.split(b"\n"):
-                    count.update(vocabulary.intersection(tokens(line)))
+                count.update(vocabulary.intersection(tokens(text)))
         yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.binary()), pa.array(list(count.values()), pa.int64())], ["token", "n"])
 
     return run
 
 
+def places(joined: bytes, phrase: bytes) -> Iterator[int]:
+    """The words (from 0) at which a phrase stands in words joined by, and within, single blanks; one pass over the text."""
+    at, before, word = joined.find(phrase), 0, 0
+    while at >= 0:
+        word += joined.count(b" ", before, at)
+        before = at
+        yield word
+        at = joined.find(phrase, at + 1)
+
+
 def _scan(index: Index):
     phrases = [(b" " + p.encode() + b" ", label) for p, label in PHRASES.items()]
 
@@ -135,19 +177,16 @@ def _scan(index: Index):
             for text in byte_texts(b.column(1)):
                 w = tokens(text)
                 joined = b" " + b" ".join(w) + b" "
-                places, base, more, score = [], set(), set(), 0.0
+                found, base, more, score = [], set(), set(), 0.0
                 for p, label in phrases:
-                    at = joined.find(p)
-                    while at >= 0:
-                        places.append(joined.count(b" ", 0, at))
+                    if at := list(places(joined, p)):
+                        found += at
                         base.add(label)
-                        at = joined.find(p, at + 1)
                 if not index.first_words.isdisjoint(w):
-                    for found in (index.across(w), *(index.matches(set(tokens(line))) for line in text.split(b"\n"))):
-                        for t, n in found.items():
-                            more.add(index.labels[t])
-                            score = max(score, n / len(index.sorted[t]))
-                rows.append((len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | more)), 1.0 if base else score))
+                    for t, n in index.across(w).items():
+                        more.add(index.labels[t])
+                        score = max(score, n / len(index.sorted[t]))
+                rows.append((len(w), len(found), min(found, default=None), max(found, default=None), ",".join(sorted(base)), ",".join(sorted(base | more)), 1.0 if base else score))
             cols = list(zip(*rows, strict=True)) or [()] * 7
             types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
             names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
@@ -159,7 +198,9 @@ def _scan(index: Index):
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score; a row for each row.
 
-    A null text is empty: no words, no labels, score 0. A document with a phrase scores 1, else its best containment.
+    A null text is empty: no words, no labels, score 0. A document with a phrase scores 1, else its best containment. Equal rows
+    and equal ids each give their row; ties in the order of tokens are broken by the tokens, and labels of equal score all stand.
+    Extra columns play no part, whatever their names; an empty table gives no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)

@@ -657,6 +657,27 @@ def test_wrapped_license_notices(spark):
         assert index.across(text) == want
 
 
+def test_scattered_words_are_no_notice(spark):
+    far = " ".join(["all", *["x"] * 40_000, "rights", *["y"] * 40_000, "reserved"])
+    near = "z " * 500 + "all rights reserved" + " z" * 500
+    many = "mit license " * 20_000
+    got = {r.doc_id: r for r in licenses.scan(documents(spark, [far, near, many])).collect()}
+    assert (got[0].labels, got[0].score, got[0].n_words) == ("", 0.0, 80_003) and got[1].labels == "all-rights-reserved"
+    assert (got[2].n_base, got[2].first_word, got[2].last_word) == (20_000, 0, 39_998)
+
+
+def test_license_base_columns(spark):
+    r = random.Random(4)
+    pool = ["GNU", "general", "Public", "license", "apache", "mit", "cc", "by", "x", "þ"]
+    texts = [r.choice(["", "("]) + "".join(r.choice(pool) + r.choice([" ", "\n", ", ", "-", "  "]) for _ in range(r.randint(0, 40))) for _ in range(300)] + [None]
+    for row in licenses.scan(documents(spark, texts)).collect():
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), texts[row.doc_id] or ""))
+        at = {p: [i for i in range(len(w)) if w[i : i + len(p.split())] == p.split()] for p in licenses.PHRASES}
+        every = sorted(x for v in at.values() for x in v)
+        want = (len(w), len(every), every[0] if every else None, every[-1] if every else None, ",".join(sorted(licenses.PHRASES[p] for p, v in at.items() if v)))
+        assert tuple(row)[1:6] == want and set(filter(None, want[4].split(","))) <= set(row.labels.split(","))
+
+
 def test_pipeline_stages_on_odd_rows(spark, odd, empty, labels, items, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     items.write.parquet(str(tmp_path / "benchmark.parquet"))
