@@ -381,7 +381,9 @@ def test_pii_finds_identifiers_by_their_contexts(spark):
     assert out[len(seeds)] == "customer number [ID] thanks" and "[PHONE]" in out[0] and out[len(seeds) + 1] == texts[-1]
 
 
-def test_decontamination_is_exact(spark):
+@pytest.mark.parametrize("block_bytes", [8 << 20, 400])
+def test_decontamination_is_exact(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block_bytes)  # with 400, in several blocks
     bench = [(i, words(900 + i, 30 if i else 3)) for i in range(6)]
     r = random.Random(2)
     texts = []
