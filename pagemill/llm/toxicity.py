@@ -7,7 +7,9 @@ reported. A document's score is the logistic function of the weights gathered by
 other labelled documents than the insult paths, so that chance paths get no credit.
 
 Learning uses at most `SAMPLE` labelled documents (the bound that keeps the fit small): those of least hash of the id, minus
-the held-out ids. Scoring streams over all documents without a shuffle; the grammar holds at most `PATHS` paths.
+the held-out ids. Near copies among these (texts that share their least shingle hash) weigh as one together, so that their chance words do not
+count as often as they stand; none is left out. A path has to stand in several toxic documents of the sample, so the sample
+bounds the paths too. Scoring streams over all documents without a shuffle.
 """
 
 from __future__ import annotations
@@ -17,13 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import LOWER, base_columns, byte_texts, crc_mod, shingle_hashes, small_batches, table, utf8, word_hashes, words
+from pagemill.llm.common import LOWER, base_columns, byte_texts, crc_mod, cut, shingle_hashes, small_batches, table, utf8, word_hashes, words
 
 SAMPLE = 20_000
-PATHS = 20_000
+#: What a text of the sample weighs, shared with its copies: in whole numbers, so that the order of sums plays no role.
+UNIT = 1 << 20
 #: Lengths in bytes of the beginnings of words that may become paths.
 HEADS = (3, 4, 5, 6, 7, 8)
 THRESHOLD = 0.3
@@ -124,12 +127,15 @@ class Grammar:
 
 
 def _path_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """By path: documents of the batch's rows with and without the label that hold it."""
+    """text, toxic, weight -> by path: the weight of the rows with and without the label that hold it."""
     counts = (Counter(), Counter())
     for b in batches:
-        for text, toxic in zip(byte_texts(b.column(0)), b.column(1).to_pylist(), strict=True):
-            seen = set(text.translate(_TO_WORDS).split())
-            counts[toxic].update({b"=" + w for w in seen} | {b"^" + w[:n] for w in seen for n in HEADS if len(w) > n})
+        for text, toxic, weight in zip(byte_texts(b.column(0)), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            mine = counts[toxic]
+            for w in set(text.translate(_TO_WORDS).split()):
+                mine[b"=" + w] += weight
+            for h in {b"^" + w[:n] for w in set(text.translate(_TO_WORDS).split()) for n in HEADS if len(w) > n}:
+                mine[h] += weight
     keys = list(counts[0].keys() | counts[1].keys())
     for i in range(0, len(keys), 50_000):
         part = keys[i : i + 50_000]
@@ -152,13 +158,13 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(2), b.column(1), pa.array(np.where(least > 0, least.view(np.int64), own))], ["text", "toxic", "copies"])
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 50) -> tuple[float, np.ndarray]:
-    """Bias and weights by Newton's method, with a squared penalty on the weights."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1.0, rounds: int = 50) -> tuple[float, np.ndarray]:
+    """Bias and weights by Newton's method over weighed rows, with a squared penalty on the weights."""
     z = np.column_stack([np.ones(len(x)), x])
     w, fine = np.zeros(z.shape[1]), np.diag([1e-3] + [penalty] * x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve(z.T @ (z * (p * (1 - p))[:, None]) + fine, z.T @ (y - p) - fine @ w)
+        step = np.linalg.solve(z.T @ (z * (weight * p * (1 - p))[:, None]) + fine, z.T @ (weight * (y - p)) - fine @ w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
@@ -166,17 +172,22 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
-    """A grammar from the labelled documents whose crc32 modulo 4 is not 2."""
+    """A grammar from the labelled documents whose crc32 modulo 4 is not 2.
+
+    Of several texts of one id the greatest counts, of several labels toxic; a null label or id is none. Without labels of both
+    kinds any threat counts. Other columns of both tables play no part.
+    """
     small_batches(docs.sparkSession)
     known = base_columns(labels, doc_id="doc_id", toxic="toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     known = known.where(crc_mod(F.col("doc_id"), 4) != 2).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = base_columns(docs, doc_id="doc_id", text="text").join(F.broadcast(chosen), "doc_id")
-    # at most `sample` texts: one for each id, then one for each group of copies, else their chance words would count often
+    # one text for each id, at most `sample`
     rows = rows.groupBy("doc_id", "toxic").agg(F.max("text").alias("text")).mapInArrow(_grouped, "text string, toxic int, copies long")
-    rows = rows.groupBy("copies", "toxic").agg(F.max("text").alias("text")).withColumn("fold", F.pmod(F.xxhash64("copies"), F.lit(2)))
-    rows = rows.select("text", "toxic", "fold").persist()
-    sizes = {(r.fold, r.toxic): r.n for r in rows.groupBy("fold", "toxic").agg(F.count("*").alias("n")).collect()}
+    alike = Window.partitionBy("copies", "toxic")
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("copies"), F.lit(2))).withColumn("weight", F.expr(f"{UNIT}L") / F.count("*").over(alike))
+    rows = cut(rows.select("text", "toxic", "fold", F.col("weight").cast("long").alias("weight")))
+    sizes = {(r.fold, r.toxic): r.n / UNIT for r in rows.groupBy("fold", "toxic").agg(F.sum("weight").alias("n")).collect()}
 
     def paths(fold: int | None) -> dict[bytes, float]:
         """Those that speak for the label by more than chance does in as many paths as there may be, weighed by log-odds."""
@@ -184,13 +195,13 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
         if not n[0] or not n[1]:
             return {}
         of = rows if fold is None else rows.where(F.col("fold") == fold)
-        counts = of.select("text", "toxic").mapInArrow(_path_counts, "path binary, clean long, toxic long").groupBy("path").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        counts = of.select("text", "toxic", "weight").mapInArrow(_path_counts, "path binary, clean long, toxic long").groupBy("path").agg((F.sum("clean") / UNIT).alias("clean"), (F.sum("toxic") / UNIT).alias("toxic"))
         share = n[1] / (n[0] + n[1])
         both = F.col("toxic") + F.col("clean")
         # log-likelihood ratio of the path's own share against the overall one
         ratio = F.col("toxic") * F.log(F.col("toxic") / (both * share)) + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (both * (1 - share)))).otherwise(0.0)
         odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1.0)) - F.log((F.col("clean") + 0.5) / (n[0] + 1.0))
-        best = counts.where((F.col("toxic") > both * share) & (ratio >= SURPRISE)).withColumn("w", odds).where("w >= 2.5").orderBy(F.desc("w"), "path").limit(PATHS)
+        best = counts.where((F.col("toxic") > both * share) & (ratio >= SURPRISE)).withColumn("w", odds).where("w >= 2.5")
         return {bytes(r.path): r.w for r in best.select("path", "w").collect()}
 
     first = Grammar(paths(0))
@@ -198,16 +209,16 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = np.array([first.features(t) for t in byte_texts(b.column(0))]).reshape(-1, len(ROLES) + 1)
-            yield pa.RecordBatch.from_arrays([b.column(1), *(pa.array(c) for c in x.T)], ["toxic", *(f"x{i}" for i in range(x.shape[1]))])
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), *(pa.array(c) for c in x.T)], ["toxic", "weight", *(f"x{i}" for i in range(x.shape[1]))])
 
-    schema = "toxic int, " + ", ".join(f"x{i} double" for i in range(len(ROLES) + 1))
-    data = np.array([tuple(r) for r in rows.where("fold = 1").select("text", "toxic").mapInArrow(describe, schema).collect()], float).reshape(-1, len(ROLES) + 2)
+    schema = "toxic int, weight long, " + ", ".join(f"x{i} double" for i in range(len(ROLES) + 1))
+    data = np.array([tuple(r) for r in rows.where("fold = 1").select("text", "toxic", "weight").mapInArrow(describe, schema).collect()], float).reshape(-1, len(ROLES) + 3)
+    data = data[np.lexsort(data.T)]
     grammar = Grammar(paths(None))
     if len(data) and 0 < data[:, 0].sum() < len(data):
-        grammar.bias, grammar.weights = fit_logistic(data[:, 1:], data[:, 0])
+        grammar.bias, grammar.weights = fit_logistic(data[:, 2:], data[:, 0], data[:, 1] / UNIT)
     else:  # nothing to learn from: any threat or path counts
         grammar.bias, grammar.weights = -3.0, np.ones(len(ROLES) + 1)
-    rows.unpersist()
     return grammar
 
 
