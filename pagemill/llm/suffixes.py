@@ -15,6 +15,9 @@ they meet under the anchor's hash, and what is sorted there decides about every
 4. In the merged order, the anchors whose suffixes share r bytes stand side by side; a window with j bytes before its anchor
    repeats if another of those with r >= LENGTH - j has the same j bytes before.
 
+Where contexts are settled as a whole, two hashes of different kinds, 64 bits each, have to agree: a polynomial one of the
+anchor's gram, and XXH3 of the context with the anchor's place in it.
+
 A document's key is a 96-bit hash of id and text; equal rows share it, and are copies of each other.
 """
 
@@ -27,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +76,9 @@ def anchors(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     first, last = start[edge], start[np.append(edge[1:], len(start)) - 1]
     a, text = at[edge], text[edge]
     stop = last + LENGTH
-    context = mixed((total[stop] - total[first]) * inverse[first] + (a - first).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + (stop - first).astype(np.uint64))
+    data, digest = memoryview(np.ascontiguousarray(raw)), xxhash.xxh3_64_intdigest
+    whole = np.fromiter((digest(data[i:j]) for i, j in zip(first.tolist(), stop.tolist(), strict=True)), np.uint64, len(first))
+    context = mixed(whole ^ mixed((a - first).astype(np.uint64) << np.uint64(32) | (stop - first).astype(np.uint64)))
     return text, a, first, last, gram[a], context
 
 
@@ -172,16 +178,22 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(j):
             yield _rows(g[j], c[j], k1[j], k2[j], 3 + (times[variants > 1] > 1), x[j], g[j])
 
-    rest: list[np.ndarray] | None = None
+    # batches of one anchor hash are put together once it ends, whatever their number
+    held: list[list[np.ndarray]] = []
     for b in batches:
         now = [b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(7)]
-        rest = now if rest is None else [np.concatenate(v) for v in zip(rest, now, strict=True)]
-        cut_at = np.searchsorted(rest[0], rest[0][-1]) if len(rest[0]) else 0
+        if not len(now[0]):
+            continue
+        cut_at = int(np.searchsorted(now[0], now[0][-1]))
+        if not cut_at and held and held[-1][0][-1] != now[0][0]:
+            yield from decide([np.concatenate(v) for v in zip(*held, strict=True)])
+            held = []
         if cut_at:
-            yield from decide([v[:cut_at] for v in rest])
-            rest = [v[cut_at:] for v in rest]
-    if rest is not None and len(rest[0]):
-        yield from decide(rest)
+            yield from decide([np.concatenate(v) for v in zip(*held, [v[:cut_at] for v in now], strict=True)])
+            held = []
+        held.append([v[cut_at:] for v in now])
+    if held:
+        yield from decide([np.concatenate(v) for v in zip(*held, strict=True)])
 
 
 _HEAD = struct.Struct(">HHBqiqB")
