@@ -426,6 +426,28 @@ def _new(pairs: DataFrame, judged: DataFrame | None = None) -> DataFrame:
     return cut(once.select("u", F.when(F.col("u") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("v")))
 
 
+def fewest_shared(n, m, p, q):
+    """Of sets of n and m shingles that have a similarity of 0.8, how many their first p and q shingles share at least.
+
+    They share o = ceil(4/9 (n + m)), so n - o of the one are not in the other, m - o of the other not in the one. What the first
+    shingles that end earlier in the common order share with the whole other set, they share with its first shingles.
+    """
+    o = F.ceil(4 * (n + m) / 9)
+    return F.least(p - (n - o), q - (m - o))
+
+
+def _likely(signed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose first shingles share as many as those of similar texts do; signed (t, size, prefix)."""
+    members = cut(pairs.select(F.explode(F.array("u", "v")).alias("k")).distinct())
+    asked = maybe_among(signed.select("t", "size", "prefix"), F.col("t"), members, "asked").where("asked").drop("asked")
+    known = cut(asked.join(members, F.col("t") == F.col("k"), "left_semi").dropDuplicates(["t"]))
+    x = known.select(F.col("t").alias("u"), F.struct("size", "prefix").alias("x"))
+    y = known.select(F.col("t").alias("v"), F.struct("size", "prefix").alias("y"))
+    both = pairs.join(x, "u").join(y, "v")
+    shared = F.size(F.array_intersect("x.prefix", "y.prefix"))
+    return cut(both.where(shared >= fewest_shared(F.col("x.size"), F.col("y.size"), F.size("x.prefix"), F.size("y.prefix"))).select("u", "v"))
+
+
 def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (u, v) of the keys of texts (k1, text; equal texts have one key) whose whole texts are similar. The shingles of u
     are made once for up to about COMPARED texts v, so a text with very many partners is dealt over tasks."""
@@ -458,7 +480,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text and any more) without the near copies: of each group the row of least id stays (a null id comes last).
 
     Texts are near copies if their sets of 5-word shingles have a similarity of 0.8 or more. Equal texts are one from the start.
-    Compared are, always by the whole texts: those whose fingerprints differ in at most 3 bits in some family, along spanning
+    Compared are, by their first shingles and then always by the whole texts: those whose fingerprints differ in at most 3 bits in some family, along spanning
     links; then, for each of the first shingles, its texts with the one nearest to its start; then all that share one of the
     first shingles and are not in one group by then, so that no near copy is left uncompared. Of equal rows one stays. Empty and
     null texts are copies of each other. Ties (equal ids, different texts) go to the least hash of the row; other columns are
@@ -487,12 +509,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     same = each.groupBy("family", "fp", "t").agg(F.min("size").alias("size")).join(points, ["family", "fp"]).select(F.col("rep").alias("a"), F.struct("t", "size").alias("b"))
     sized = (5 * F.least("a.size", "b.size") >= 4 * F.greatest("a.size", "b.size")) & (F.col("a.t") != F.col("b.t"))
     first = _new(far.union(same).where(sized).select(F.col("a.t").alias("u"), F.col("b.t").alias("v")))
-    near = _verified(texts, first)
+    near = _verified(texts, _likely(signed, first))
     starts = _starts(signed)
     second = _new(_stars(starts), first)
-    near = near.union(_verified(texts, second))
+    near = near.union(_verified(texts, _likely(signed, second)))
     third = _new(_apart(starts, components(near)), first.union(second))
-    label = cut(components(near.union(_verified(texts, third))))
+    label = cut(components(near.union(_verified(texts, _likely(signed, third)))))
     ids = signed.groupBy("k", "t").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
     rooted = cut(ids.join(label, F.col("t") == F.col("node"), "left").select("k", "doc_id", "n", F.coalesce("root", "t").alias("root")))
     best = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "k")).alias("s"), F.count("*").alias("members"), F.max("n").alias("most"))

@@ -583,7 +583,19 @@ def test_first_shingles_meet_in_any_order():
         y = set(r.sample(sorted(x), max(1, len(x) - r.randint(0, 8)))) | {r.getrandbits(64) for _ in range(r.randint(0, 8))}
         common = np.sort(np.array(r.sample(sorted(x | y), len(x | y) // 2), np.uint64))
         if simhash.similar(x, y):
-            assert set(simhash.ranked(x, common).tolist()) & set(simhash.ranked(y, common).tolist())
+            p, q = simhash.ranked(x, common).tolist(), simhash.ranked(y, common).tolist()
+            o = -(-4 * (len(x) + len(y)) // 9)
+            assert len(set(p) & set(q)) >= max(1, min(len(p) - (len(x) - o), len(q) - (len(y) - o)))
+            first = next(h for h in p if h in y)
+            assert simhash.can_be_similar(len(x), p.index(first), len(y), q.index(first))
+
+
+def test_fewest_shared_is_the_bound_in_whole_numbers(spark):
+    rows = [(n, m) for n in range(60) for m in range(60)]
+    df = spark.createDataFrame(rows, "n long, m long").select("n", "m", simhash.fewest_shared(F.col("n"), F.col("m"), F.lit(0), F.lit(0)).alias("k"))
+    for r in df.collect():
+        o = -(-4 * (r.n + r.m) // 9)
+        assert r.k == min(o - r.n, o - r.m)
 
 
 def test_toxicity_learns_words_and_beginnings(spark):
