@@ -38,13 +38,17 @@ CLOSES = {
     "th": frozenset({"td", "th", "tr"}),
     "option": frozenset({"option"}),
 }
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
+#: A tag's attributes. A quoted value ends at its quote only where a blank, a slash or the tag's end follows; else the quote is
+#: part of a value without quotes.
+_ATTRIBUTES = r"(?:[\s/]+|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"(?=[\s/>])|'[^']*+'(?=[\s/>])|[^\s>]*+))?+)*+"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)({_ATTRIBUTES})(?:>|\Z)", re.S)
 #: Of RAW, those that reach to the page's end where no end tag follows; the others nest and may be left open.
 TO_THE_END = frozenset("script style textarea title iframe".split())
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: What is not shown is not main text.
+_HIDDEN = re.compile(r"(?:^|[\s\"'])hidden(?=[\s=/]|$)(?!\s*=\s*[\"']?until-found)|style\s*=\s*(?:\"[^\"]*|'[^']*|\S*)(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*$")
 _SPACE = re.compile(r"\s+")
-#: Elements nested deeper become siblings, as in browsers; their text stays.
-DEEPEST = 512
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 #: Attribute and tag tokens by what they usually mark.
@@ -53,19 +57,23 @@ REST_TOKENS = frozenset("nav navbar menu header footer sidebar aside ad ads adve
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "depth", "index", "chars", "link_chars", "tags", "stops", "paragraphs", "keep", "inline")
+    __slots__ = ("tag", "attrs", "children", "parent", "depth", "chars", "link_chars", "tags", "stops", "paragraphs", "inline", "gone")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
         self.depth = parent.depth + 1 if parent else 0
         self.inline = tag not in BLOCKS
+        #: never text: by its tag, or because it is not shown
+        self.gone = tag in RAW or bool(attrs and _HIDDEN.search(attrs))
 
 
 def parse(html: str) -> Node:
-    """The element tree; unclosed and stray tags are taken as browsers mostly take them."""
+    """The element tree, of any depth; unclosed and stray tags are taken as browsers mostly take them."""
     root = node = Node("html", "", None)
     at, n = 0, len(html)
+    #: open elements by tag, so that stray end tags cost nothing
+    opened: Counter[str] = Counter()
     ends: dict[str, dict[int, int]] = {}
     while at < n:
         m = _TOKEN.search(html, at)
@@ -79,11 +87,12 @@ def parse(html: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            up = node
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if up is not None and up.parent is not None and not (tag not in BLOCKS and _crosses(node, up)):
-                node = up.parent
+            if opened[tag]:
+                up = node
+                while up.tag != tag:
+                    up = up.parent
+                if not (tag not in BLOCKS and _crosses(node, up)):
+                    node = _closed(node, up, opened)
             continue
         if tag == "html":
             continue
@@ -92,7 +101,7 @@ def parse(html: str) -> Node:
             while closer.parent is not None and closer.inline and tag in BLOCKS:
                 closer = closer.parent
             if tag in CLOSES.get(closer.tag, ()):
-                node = closer.parent
+                node = _closed(node, closer, opened)
             else:
                 break
         new = Node(tag, m[3] or "", node)
@@ -104,17 +113,26 @@ def parse(html: str) -> Node:
             if tag not in ends:
                 ends[tag] = _ends(html, tag)
             at = ends[tag].get(m.start(), at)  # self-closed or left open: it holds nothing
-        elif tag not in VOID and not (m[3] or "").rstrip().endswith("/") and new.depth < DEEPEST:
+        elif tag not in VOID and not _CLOSED.search(m[3] or ""):
             node = new
+            opened[tag] += 1
     return root
 
 
+def _closed(node: Node, up: Node, opened: Counter[str]) -> Node:
+    """The element around `up`, once all from `node` to `up` are closed."""
+    while node is not up.parent:
+        opened[node.tag] -= 1
+        node = node.parent
+    return node
+
+
 def _ends(html: str, tag: str) -> dict[int, int]:
     """Of all elements of a tag that are closed: where the start tag begins, and where the end tag of the same depth ends."""
     found, open_ = {}, []
-    for m in re.finditer(rf"<(/?){tag}(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", html, re.I):
+    for m in re.finditer(rf"<(/?){tag}(?=[\s/>])({_ATTRIBUTES})(?:>|\Z)", html, re.I):
         if not m[1]:
-            if not (tag in ("svg", "math") and m[2].rstrip().endswith("/")):
+            if not (tag in ("svg", "math") and _CLOSED.search(m[2])):
                 open_.append(m.start())
         elif open_:
             found[open_.pop()] = m.end()
@@ -171,7 +189,7 @@ def features(nodes: list[Node]) -> np.ndarray:
         node.paragraphs += node.tag == "p"
         if node.tag == "a":
             node.link_chars = node.chars
-        if node.tag in RAW:
+        if node.gone:
             node.chars = node.stops = node.link_chars = 0
     total = max(nodes[0].chars, 1)
     out = np.zeros((len(nodes), N_FEATURES))
@@ -190,7 +208,7 @@ def features(nodes: list[Node]) -> np.ndarray:
             np.log1p(chars), chars / total, x.link_chars / (chars + 1), chars / (x.tags + 1), x.stops / (chars + 1) * 100, np.log1p(x.paragraphs),
             np.log1p(x.tags), x.depth, main, rest, above[0], above[1], above[2], siblings, same,
             chars / (x.parent.chars + 1) if x.parent else 1, x.parent.link_chars / (x.parent.chars + 1) if x.parent else 0,
-            np.log1p(x.parent.chars) if x.parent else 0, np.log1p(x.stops), x.tag in RAW,
+            np.log1p(x.parent.chars) if x.parent else 0, np.log1p(x.stops), x.gone,
         )
         kind = "h" if re.fullmatch("h[1-6]", x.tag) else x.tag
         if kind in KINDS:
@@ -256,7 +274,15 @@ def practice_pages(n: int, seed: int = 7) -> Iterator[tuple[str, str]]:
         w = [word() + ("," if r.random() < 0.08 else "") for _ in range(r.randint(low, high))]
         return " ".join(w).capitalize().rstrip(",") + r.choice(("...", ".", ".", ".", "!", "?"))[-1:]
 
+    def unstopped() -> str:
+        """Words said again and again, and bits of text without a stop."""
+        if r.random() < 0.4:
+            return some((word(), f"{word()} |", f"{word()} {word()} |", " | ".join(word() for _ in range(6)))).capitalize()
+        return " ".join(w for w in (word() for _ in range(r.randint(1, 6))) for _ in range(r.randint(5, 60))).capitalize()
+
     def prose() -> str:
+        if r.random() < 0.08:
+            return unstopped()
         t = " ".join(sentence(1) for _ in range(r.choice((1, 1, 1, 2, 3, 5, 8))))
         return t if r.random() < 0.9 else " ".join(w + r.choice(("&&&", "***", "$$$", "%%%")) for w in t.split())
 
@@ -296,7 +322,7 @@ def practice_pages(n: int, seed: int = 7) -> Iterator[tuple[str, str]]:
 
     for _ in range(n):
         blocks, parts = [], []
-        title = sentence(2, 9)
+        title = sentence(2, 9) if r.random() < 0.95 else unstopped()
         if r.random() < 0.85:
             blocks.append(title)
             parts.append(f"<h1>{inline(title)}</h1>")
@@ -309,6 +335,26 @@ def practice_pages(n: int, seed: int = 7) -> Iterator[tuple[str, str]]:
                 items = [sentence(1, 8) for _ in range(r.randint(2, 5))]
                 blocks += items
                 parts.append("<ul>" + "".join(f"<li>{inline(t)}</li>" for t in items) + "</ul>")
+            if r.random() < 0.1:
+                kind = some(("table", "table", "pre", "dl", "figure"))
+                t, u = some((sentence(1, 5), f"{word()} = {r.randint(0, 9)}")), sentence(1, 9)
+                if kind == "table":
+                    short = lambda: some((sentence(1, 3), sentence(1, 4), word(), str(r.randint(0, 99)), r.choice("abcdxyz")))
+                    rows = [(short(), short()) for _ in range(r.choice((1, 1, 2, 4)))]
+                    blocks += [x for row in rows for x in row]
+                    cell = some(("td", "th"))
+                    parts.append("<table>" + some(("", "<tbody>")) + "".join(f"<tr><{cell}>{inline(a)}</{cell}><td>{inline(b)}</td></tr>" for a, b in rows) + "</table>")
+                elif kind == "pre":
+                    blocks.append(t)
+                    parts.append(some((f"<pre>{inline(t)}</pre>", f"<pre><code>{inline(t)}</code></pre>")))
+                elif kind == "dl":
+                    blocks += [t, u]
+                    parts.append(f"<dl><dt>{inline(t)}</dt><dd>{inline(u)}</dd></dl>")
+                else:
+                    blocks.append(t)
+                    parts.append(f"<figure><img src=x.png><figcaption>{inline(t)}</figcaption></figure>")
+            if r.random() < 0.05:
+                parts.append(some((f'<div style="display:none">{sentence()}</div>', f"<p hidden>{sentence()}</p>")))
             t = prose()
             blocks.append(t)
             parts.append(some((f"<p>{inline(t)}</p>",) * 6 + (f"<p><b>{inline(t)}<br>", f"<div>{inline(t)}</div>", f"<blockquote>{inline(t)}</blockquote>")))
@@ -353,7 +399,7 @@ def block_texts(root: Node, dropped: frozenset[int] = frozenset()) -> list[str]:
             run = []
         elif isinstance(x, str):
             run.append(x)
-        elif id(x) in dropped or x.tag in RAW:
+        elif id(x) in dropped or x.gone:
             continue
         elif x.tag == "br":
             run.append(" ")
@@ -383,7 +429,7 @@ def decode(nodes: list[Node], odds: np.ndarray) -> frozenset[int]:
         best = worth
         for c in x.children:
             if isinstance(c, Node):
-                if c.inline and c.tag not in RAW:  # inline elements go with the block that holds them
+                if c.inline and not c.gone:  # inline elements go with the block that holds them
                     best += float(odds[i]) * c.chars if not any(isinstance(k, Node) and not k.inline for k in c.children) else value[id(c)]
                 else:
                     best += value[id(c)]
@@ -412,7 +458,11 @@ def main_text(html: str, model: Boosted) -> str:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """pages (page_id, url, html) -> page_id, url, text, n_chars; one row for each page. A null or empty page has no text."""
+    """pages (page_id, url, html) -> page_id, url, text, n_chars; one row for each page, equal pages and ids included.
+
+    A null or empty page has no text. Elements that are not shown (hidden, display: none, visibility: hidden) are no main text.
+    Extra columns play no part, whatever their names; an empty table gives no rows.
+    """
     spark = pages.sparkSession
     small_batches(spark, 256)
     held = spark.sparkContext.broadcast(trained())

@@ -138,6 +138,69 @@ def test_sibling_statistics_at_every_size():
                 assert (row[13], row[14]) == (n + 1, n if x.tag == "p" else 1)
 
 
+#: Pages that the practice generator can't build, and their main texts.
+HAND = [
+    ("<article><h1>Title of it</h1><p title=it's>First paragraph of the text, with more words.</p><p title=\"x>Second paragraph of the text.</p><p>Third one, also long enough.</p></article>",
+     ["Title of it", "First paragraph of the text, with more words.", "Second paragraph of the text.", "Third one, also long enough."]),
+    ("<body><nav><a href=/>Home</a></nav><article><table><tr><td>a</td><td>b</td></tr></table><p>First paragraph of the text, with many more words in it.</p><p>Second paragraph of the text.</p></article>",
+     ["a", "b", "First paragraph of the text, with many more words in it.", "Second paragraph of the text."]),
+    ("<body><nav><a href=/>Home</a></nav><article><pre>x = 1</pre><p>First paragraph of the text, with many more words in it.</p><p>Second paragraph of the text.</p></article>",
+     ["x = 1", "First paragraph of the text, with many more words in it.", "Second paragraph of the text."]),
+    ("<article><p>First paragraph of the text, with more words.</p><p style=\"color:red; display: none\">Not shown at all.</p><p hidden>Nor this one.</p><p>Second paragraph, with <span style='visibility:hidden'>no</span> more words.</p></article>",
+     ["First paragraph of the text, with more words.", "Second paragraph, with more words."]),
+    ("<main><p data-a='<p>no markup</p>' data-b=\"a > b\">First paragraph of the text, with more words.</p><p>Second paragraph, with <a href=/x/>a link</a> and more words.</p></main>",
+     ["First paragraph of the text, with more words.", "Second paragraph, with a link and more words."]),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), HAND)
+def test_hand_written_pages(page, want):
+    assert html.main_text(page, html.trained()) == "\n\n".join(want)
+
+
+def test_depth_has_no_bound():
+    text = [f"Paragraph {i} of the text, with many more words in it." for i in range(4)]
+    for depth in (10, 505, 511, 600, 5000):
+        page = "<div>" * depth + "".join(f"<p>{t}</p>" for t in text) + "</div>" * depth + "</i>" * 20_000
+        assert html.main_text(page, html.trained()) == "\n\n".join(text)
+
+
+def test_decoding_keeps_the_best_set_of_subtrees():
+    r = random.Random(5)
+    for _ in range(60):
+        parts, open_ = [], 0
+        for _ in range(r.randint(2, 14)):
+            if r.random() < 0.6:
+                parts.append("<div>" + "x" * r.randint(0, 9))
+                open_ += 1
+            elif open_:
+                parts.append("</div>" + "y" * r.randint(0, 5))
+                open_ -= 1
+        nodes = html.nodes_of(html.parse("".join(parts)))[:11]
+        if len(nodes) != len(html.nodes_of(nodes[0])):
+            continue
+        html.features(nodes)
+        odds = np.array([r.uniform(-2, 2) for _ in nodes])
+        number = {id(x): i for i, x in enumerate(nodes)}
+        up = [number[id(x.parent)] if x.parent else -1 for x in nodes]
+        full = odds.copy()
+        for i in range(1, len(nodes)):
+            full[i] += 0.5 * max(0.0, full[up[i]])
+        worth = [full[i] * sum(len(c) for c in x.children if isinstance(c, str)) for i, x in enumerate(nodes)]
+        total = lambda kept: sum(worth[i] for i in kept)
+        best = 0.0
+        for bits in range(1 << len(nodes)):
+            kept = [i for i in range(len(nodes)) if bits >> i & 1]
+            if all(up[i] < 0 or bits >> up[i] & 1 for i in kept):
+                best = max(best, total(kept))
+        dropped = html.decode(nodes, odds)
+        out = []
+        for i, x in enumerate(nodes):
+            if id(x) not in dropped and (up[i] < 0 or up[i] in out):
+                out.append(i)
+        assert math.isclose(total(out), best, abs_tol=1e-9)
+
+
 def test_pages_of_practice_layouts():
     model = html.trained()
     wrong = sum(html.main_text(page, model) != want for page, want in html.practice_pages(150, seed=4242))
