@@ -215,12 +215,80 @@ def test_quality_counts(spark):
     assert r.base_failed and not r.kept
 
 
-def test_kneser_ney_sums_to_one(spark):
-    model = quality.train(documents(spark, [words(i, 300) for i in range(4)]))
-    for context in (b"\0\0\0\0", b"\0\0ab", b"abcd", b"zzzz"):
-        base = int.from_bytes(context, "big") << 8
-        total = (10 ** model.logs(np.array([base | c for c in range(256)], np.int64))).sum()
-        assert 0.97 < total < 1.03
+def test_quality_counts_of_random_texts(spark):
+    r = random.Random(11)
+    texts = ["".join(r.choices(["a ", "b ", "c ", "\n", "þé ", "#*", "x|y ", "  ", "\t"], k=r.randint(0, 90))) for _ in range(150)] + [None, "a b c " * 40]
+    got = {x.doc_id: x for x in quality.assessed(documents(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        t = t or ""
+        w = [x for x in re.split("[ \t\n\r\x0b\x0c]+", t) if x]
+        lines, seen, dup = [x for x in t.split("\n") if re.search("[^ \t\n\r\x0b\x0c]", x)], set(), 0
+        for x in lines:
+            dup += x in seen
+            seen.add(x)
+        windows = Counter(tuple(w[k : k + 3]) for k in range(len(w) - 2))
+        covered = {k + j for k in range(len(w) - 2) if windows[tuple(w[k : k + 3])] > 1 for j in range(3)}
+        failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+        assert tuple(got[i])[1:7] == (len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), dup, len(covered), failed)
+        assert not (failed and got[i].kept)
+
+
+def test_kneser_ney_against_brute_force(spark):
+    texts = [words(i, 120) + ", 12 þé" for i in range(5)] + [None, "", "a"]
+    model = quality.train(documents(spark, texts))
+    streams = [[0] * 3 + [int(quality.FOLDING[c]) for c in b" ".join((t or "").encode().split()) + b" "] for t in texts if t]
+    counts = {4: Counter(tuple(s[i - 3 : i + 1]) for s in streams for i in range(3, len(s)))}
+    for n in (3, 2, 1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    given = {n: quality.discounts(Counter(c.values())) for n, c in counts.items()}
+
+    def p(gram):
+        if not gram:
+            return 1 / quality.SYMBOLS
+        n, c = len(gram), counts[len(gram)]
+        mine = {g: v for g, v in c.items() if g[:-1] == gram[:-1]}
+        if not mine:
+            return p(gram[1:])
+        off = lambda v: given[n][min(v, 3) - 1]
+        whole = sum(mine.values())
+        return (c[gram] - off(c[gram]) if gram in c else 0) / whole + sum(map(off, mine.values())) / whole * p(gram[1:])
+
+    r = random.Random(3)
+    some = r.sample(sorted(counts[4]), 60) + [tuple(r.randrange(40) for _ in range(4)) for _ in range(60)]
+    codes = np.array([((g[0] * 40 + g[1]) * 40 + g[2]) * 40 + g[3] for g in some])
+    assert np.allclose(model.probabilities(codes), [p(g) for g in some], rtol=1e-9)
+    sums = model.probabilities(np.arange(40**4)).reshape(-1, 40).sum(1)
+    assert np.allclose(sums, 1, atol=1e-9)
+    got = {x.doc_id: x.log_ppl for x in quality.assessed(documents(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        if not t:
+            assert got[i] is None
+            continue
+        s = [0] * 3 + [int(quality.FOLDING[c]) for c in b" ".join(t.encode().split()) + b" "]
+        want = -sum(math.log10(p(tuple(s[k - 3 : k + 1]))) for k in range(3, len(s))) / (len(s) - 3)
+        assert math.isclose(got[i], want, rel_tol=1e-5)
+
+
+def test_bands_reject_what_strays_by_language(spark):
+    r = random.Random(13)
+    prose = lambda letters, n: " ".join("".join(r.choices(letters, k=r.randint(2, 6))) for _ in range(n))
+    texts = [prose("aeinrst", r.randint(60, 400)) for _ in range(150)] + [prose("kvzwjq", r.randint(60, 400)) for _ in range(150)]
+    langs = ["en"] * 150 + [None] * 150
+    odd_ones = [prose("kvzwjq", 120), prose("aeinrst", 120), " | ".join(prose("aeinrst", 1) for _ in range(80)), prose("aeinrst", 49)]
+    got = {x.doc_id: x for x in quality.assessed(documents(spark, texts + odd_ones, langs=[*langs, "en", None, "en", "en"])).collect()}
+    assert sum(not got[i].kept for i in range(300)) <= 3
+    assert not any(got[300 + i].kept for i in range(4)) and got[303].base_failed and not got[300].base_failed
+    shuffled = " ".join(r.sample(texts[0].split(), len(texts[0].split())))
+    two = quality.assessed(documents(spark, [texts[0], shuffled])).collect()
+    assert two[0].log_ppl != two[1].log_ppl  # the order of words plays a part
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_bands_on_labelled_documents(spark):
+    marks = {x.doc_id: x.quality for x in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = [x for x in quality.op2_quality_rules(spark, SF).collect() if x.doc_id in marks and not x.base_failed]
+    good, junk = ([x for x in rows if marks[x.doc_id] == v] for v in (1, 0))
+    assert sum(not x.kept for x in good) <= 0.01 * len(good) and sum(not x.kept for x in junk) >= 0.6 * len(junk)
 
 
 def test_language_model(spark):
