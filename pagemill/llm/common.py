@@ -29,14 +29,26 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where none is set."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where none is set, one of our own if driver and executors are one
+    process; on a cluster that is an error, as a folder of one machine would lose data."""
     sc: SparkContext = spark.sparkContext
     if (found := sc.getCheckpointDir()) is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pagemill-"))
+        wanted = spark.conf.get("spark.checkpoint.dir", None)
+        if wanted is None:
+            if not (sc.master == "local" or sc.master.startswith("local[")):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            wanted = tempfile.mkdtemp(prefix="pagemill-")
+        sc.setCheckpointDir(wanted)
         found = sc.getCheckpointDir()
     return found
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared store."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes df to the shared checkpoint folder and goes on from there, so that a lost executor costs no recomputation."""
     checkpoint_dir(df.sparkSession)

@@ -613,6 +613,31 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
+def test_no_folder_of_one_machine_on_a_cluster(spark, tmp_path):
+    class Context:
+        def __init__(self, master):
+            self.master, self.folder = master, None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        def __init__(self, master, **conf):
+            self.sparkContext, self.conf = Context(master), conf
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            common.checkpoint_dir(Session(master))
+        assert common.checkpoint_dir(Session(master, **{"spark.checkpoint.dir": "hdfs://x/y"})) == "hdfs://x/y"
+    folder = common.checkpoint_dir(Session("local[2]"))
+    assert os.path.isdir(folder)
+    common.discard(spark, folder)
+    assert not os.path.exists(folder)
+
+
 def test_bitmap_keeps_all_keys(spark):
     r = random.Random(7)
     known = [r.getrandbits(64) - (1 << 63) for _ in range(500)] + [0, -1]
