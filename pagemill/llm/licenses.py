@@ -216,3 +216,18 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> Dat
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
+
+
+def license_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op10 that SQL can give."""
+    return op10_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+BASE_ORACLE = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+p AS (SELECT string_split(phrase, ' ') AS ps, label FROM (VALUES {", ".join(f"('{p}', '{label}')" for p, label in PHRASES.items())}) v(phrase, label)),
+m AS (SELECT doc_id, i - 1 AS place, label FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d), p WHERE w[i] = ps[1] AND w[i:i + len(ps) - 1] = ps)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(count(place) AS BIGINT) AS n_base, CAST(min(place) AS BIGINT) AS first_word, CAST(max(place) AS BIGINT) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
+FROM d LEFT JOIN m USING (doc_id) GROUP BY d.doc_id, len(w)
+"""

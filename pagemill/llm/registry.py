@@ -21,9 +21,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         simhash.op8_simhash_dedup,
         toxicity.op9_toxicity,
         licenses.op10_license_scan,
+        # what SQL can give of two that it can't express as a whole
+        quality.quality_base,
+        licenses.license_base,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mix_sources": mixing.ORACLE, "op7_decontamination": decontamination.ORACLE}
+    return {"op5_mix_sources": mixing.ORACLE, "op7_decontamination": decontamination.ORACLE, "quality_base": quality.BASE_ORACLE, "license_base": licenses.BASE_ORACLE}

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pagemill.llm import decontamination, html, licenses, lm, mixing, pii, quality, simhash, suffixes, toxicity
-from pagemill.llm import common
+from pagemill.llm import common, registry
 from pagemill.llm.common import maybe_among
 from pagemill.llm.graph import components
 
@@ -858,6 +858,20 @@ def test_pipeline_stages_on_odd_rows(spark, odd, empty, labels, items, tmp_path)
             assert out.count() <= docs.count()
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_queries_agree_with_sql(spark, name):
+    df = registry.queries()[name](spark, SF)
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    columns = ", ".join(sorted(df.columns))
+    want = con.sql(f"SELECT {columns} FROM ({registry.oracle_sql()[name]})").fetchall()
+    got = [tuple(r) for r in df.select(*sorted(df.columns)).collect()]
+    near = lambda rows: sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in rows), key=str)
+    assert near(got) == near(want)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_pipeline_end_to_end(spark):
     # the smallest tables have too few labels to learn from
