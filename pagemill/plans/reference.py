@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagemill.config import PackConfig, PageConfig
 from pagemill.functions.pytext import NOT_SPACE, SPACE, lstrip, sql_hash, sql_strip, strip, words
 from pagemill.operators import order, packing, pages, records
-from pagemill.sources import files
+from pagemill.sources import files, raster
 from pagemill.streaming.tokens import growing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -311,6 +311,13 @@ def page_manifest(spark, sf):
     return split.select("doc_id", "chunk_ix", "page_ix", "text", "top", "lines", "font_path", "bg_color.*", "font_color", "font_size", "image_width", "image_height", "image_dpi", "split")
 
 
+@query(_BY_SOURCE + f"SELECT doc_id, chunk_ix, page_ix, CAST(512 AS INTEGER) AS width, CAST(512 AS INTEGER) AS height, CAST(36 * length(regexp_replace(text, '{SPACE}', '', 'g')) AS BIGINT) AS ink FROM laid")
+def drawn_pages(spark, sf):
+    """All pages drawn, written as PNG and read again. Without a font a letter is a box of 6 by 6 pixels."""
+    drawn = pages.rendered(pages.attributed(_pages(spark, sf, "source"), PAGE), PAGE)
+    return drawn.select("doc_id", "chunk_ix", "page_ix", raster.ink("image.bytes", "bg_color").alias("x")).select("doc_id", "chunk_ix", "page_ix", "x.*")
+
+
 # Splits --------------------------------------------------------------------------------------------------------------
 
 _RANKED = "WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS k, count(*) OVER () AS n FROM documents), h AS (SELECT *, CAST(ceil(n * 0.2::DOUBLE) AS BIGINT) AS held FROM r), s AS (SELECT doc_id, CASE WHEN k <= n - held THEN 'train' WHEN k <= n - held + CAST(ceil(held * 0.5::DOUBLE) AS BIGINT) THEN 'test' ELSE 'validation' END AS split FROM h) "

@@ -128,6 +128,20 @@ def rgb(image_bytes: Column | str) -> Column:
     return run(image_bytes)
 
 
+def ink(image_bytes: Column | str, background: Column | str) -> Column:
+    """struct<width, height, ink>: an image's size, and how many of its pixels differ from a background (struct r, g, b)."""
+
+    @F.pandas_udf("struct<width:int,height:int,ink:long>")
+    def run(contents: pd.Series, colors: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for data, color in zip(contents, colors[["r", "g", "b"]].to_numpy(), strict=True):
+            x = read(data)
+            rows.append((None, None, None) if x is None else (x.shape[1], x.shape[0], int((x != color.astype(np.uint8)).any(2).sum())))
+        return pd.DataFrame({"width": pd.array([r[0] for r in rows], "Int32"), "height": pd.array([r[1] for r in rows], "Int32"), "ink": pd.array([r[2] for r in rows], "Int64")})
+
+    return run(image_bytes, background)
+
+
 class Outlines:
     """The glyph table of a TrueType font."""
 
