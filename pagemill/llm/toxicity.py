@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import LOWER, base_columns, byte_texts, crc_mod, cut, shingle_hashes, small_batches, table, utf8, word_hashes, words
@@ -184,9 +184,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
     rows = base_columns(docs, doc_id="doc_id", text="text").join(F.broadcast(chosen), "doc_id")
     # one text for each id, at most `sample`
     rows = rows.groupBy("doc_id", "toxic").agg(F.max("text").alias("text")).mapInArrow(_grouped, "text string, toxic int, copies long")
-    alike = Window.partitionBy("copies", "toxic")
-    rows = rows.withColumn("fold", F.pmod(F.xxhash64("copies"), F.lit(2))).withColumn("weight", F.expr(f"{UNIT}L") / F.count("*").over(alike))
-    rows = cut(rows.select("text", "toxic", "fold", F.col("weight").cast("long").alias("weight")))
+    rows = cut(rows)
+    alike = rows.groupBy("copies", "toxic").agg((F.expr(f"{UNIT}L") / F.count("*")).cast("long").alias("weight"))
+    rows = rows.join(F.broadcast(alike), ["copies", "toxic"]).select("text", "toxic", F.pmod(F.xxhash64("copies"), F.lit(2)).alias("fold"), "weight")
     sizes = {(r.fold, r.toxic): r.n / UNIT for r in rows.groupBy("fold", "toxic").agg(F.sum("weight").alias("n")).collect()}
 
     def paths(fold: int | None) -> dict[bytes, float]:
