@@ -15,6 +15,7 @@ tasks as blocks of homes by blocks of visitors. A task returns a spanning forest
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -283,8 +284,8 @@ def simhash_classes(docs: DataFrame, k: int = 3, threshold: int = 3) -> DataFram
 
 #: Of the near-duplicate stage: fingerprints for each text, words of a shingle.
 FAMILIES, SHINGLE = 8, 5
-#: Texts looked at for common shingles, and how many of these are kept at most: they set an order only.
-COMMON_TEXTS, COMMON = 1 << 12, 1 << 16
+#: Counters of shingles, and of these a block that crosses the network at once.
+COUNT_BITS, BLOCK = 23, 1 << 13
 #: Texts that one copy of another text's shingles is compared with.
 COMPARED = 64
 #: Members of one group that one copy of the group's verdict serves.
@@ -306,7 +307,7 @@ def similar(x: set[int], y: set[int]) -> bool:
     return 5 * shared >= 4 * (len(x) + len(y) - shared)
 
 
-def signature(text: bytes, common: np.ndarray) -> tuple[list[int], list[int], int]:
+def signature(text: bytes, common: Counts | np.ndarray) -> tuple[list[int], list[int], int]:
     """Several independent fingerprints of a text's distinct words; of its 5-word shingles, the first in the order of `ranked`,
     and how many there are.
 
@@ -326,30 +327,70 @@ def signature(text: bytes, common: np.ndarray) -> tuple[list[int], list[int], in
     return fps.tolist(), ranked(h, common).view(np.int64).tolist(), len(h)
 
 
-def ranked(h: set[int], common: np.ndarray) -> np.ndarray:
-    """Of a set of n shingles the first n - ceil(0.8 n) + 1, in one order of all shingles: the common ones (sorted) last.
+class Counts:
+    """How common shingles are: the counts of all shingles of all texts by 2 ** COUNT_BITS ranges of their hashes, 16 MB at any
+    corpus size. They set an order only; shingles of one range count as one, so more of them only blur it."""
+
+    def __init__(self, total: np.ndarray):
+        self.total = np.minimum(total, np.iinfo(np.uint16).max).astype(np.uint16)
+
+    @staticmethod
+    def ranges(a: np.ndarray) -> np.ndarray:
+        return (a >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+
+    def of(self, a: np.ndarray) -> np.ndarray:
+        return self.total[self.ranges(a)]
+
+
+def ranked(h: set[int], common: Counts | np.ndarray) -> np.ndarray:
+    """Of a set of n shingles the first n - ceil(0.8 n) + 1, in one order of all shingles: the rarest first by counts, or the
+    common ones (sorted) last.
 
     Sets of a similarity of 0.8 or more share at least 0.8 of the larger one, so they share one of these, in whatever order.
     """
     a = np.sort(np.fromiter(h, np.uint64, len(h)))
-    if len(a) and len(common):
-        late = common[np.minimum(np.searchsorted(common, a), len(common) - 1)] == a
-        a = np.concatenate([a[~late], a[late]])
+    late = common.of(a) if isinstance(common, Counts) else np.isin(a, common)
+    a = a[np.argsort(late, kind="stable")]
     return a[: len(a) - (4 * len(a) + 4) // 5 + 1 if len(a) else 0]
 
 
-def _common(texts: DataFrame) -> np.ndarray:
-    """Shingles that several of some COMMON_TEXTS texts (t, text) hold, at most COMMON. They only set an order: it keeps groups small."""
-    step = max(texts.count() // COMMON_TEXTS, 1)
+def counted(texts: DataFrame) -> Counts:
+    """The counts over every row of texts (text). A task sends its counters in packed blocks, a few MB however much it reads."""
+    size = 1 << COUNT_BITS
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, held, many = np.zeros(size, np.uint32), [], 0
+        for b in itertools.chain(batches, [None]):
+            for text in byte_texts(b.column(0)) if b is not None else ():
+                h = shingles(text)
+                held.append(Counts.ranges(np.fromiter(h, np.uint64, len(h))))
+                many += len(h)
+            if held and (b is None or many >= 1 << 19):
+                at, n = np.unique(np.concatenate(held), return_counts=True)
+                total[at] += n.astype(np.uint32)
+                held, many = [], 0
+        for i in np.flatnonzero(total.reshape(-1, BLOCK).any(1)):
+            part = total[i * BLOCK : (i + 1) * BLOCK]
+            packed = zlib.compress((part.astype(np.uint8) if part.max() < 256 else part).tobytes(), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([packed], pa.binary())], ["block", "counts"])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
         for b in batches:
-            h = [np.fromiter(x, np.uint64, len(x)) for x in map(shingles, byte_texts(b.column(0)))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h or [np.zeros(0, np.uint64)]).view(np.int64))], ["h"])
-
-    counts = texts.where(F.pmod("t", F.lit(step)) == 0).select("text").mapInArrow(each, "h long").groupBy("h").agg(F.count("*").alias("n"))
-    top = counts.where("n >= 3").orderBy(F.desc("n"), "h").limit(COMMON).collect()
-    return np.sort(np.array([r.h for r in top], np.int64).view(np.uint64))
+            for i, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                raw = zlib.decompress(packed)
+                part = np.frombuffer(raw, np.uint8 if len(raw) == BLOCK else np.uint32)
+                found.setdefault(i, np.zeros(BLOCK, np.int64))[:] += part
+        for i, x in found.items():
+            packed = zlib.compress(np.minimum(x, np.iinfo(np.uint16).max).astype(np.uint16).tobytes(), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([packed], pa.binary())], ["block", "counts"])
+
+    n = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    blocks = texts.select("text").mapInArrow(each, "block long, counts binary").repartition(n, "block").mapInArrow(sums, "block long, counts binary")
+    total = np.zeros(size, np.uint16)
+    for r in blocks.collect():
+        total[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(zlib.decompress(r.counts), np.uint16)
+    return Counts(total)
 
 
 def can_be_similar(n, p, m, q):
@@ -490,7 +531,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     # the row as one value, so that its names can't clash with those here
     keyed = docs.select(F.struct("*").alias("doc"), "doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("k1"), F.xxhash64(text, "doc_id", F.lit(1)).alias("k2"), F.xxhash64(text).alias("t"))
-    common = docs.sparkSession.sparkContext.broadcast(_common(keyed.select("t", "text")))
+    common = docs.sparkSession.sparkContext.broadcast(counted(keyed.select("text")))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -746,6 +746,26 @@ def test_first_shingles_meet_in_any_order():
             assert simhash.can_be_similar(len(x), p.index(first), len(y), q.index(first))
 
 
+def test_shingles_are_counted_over_every_text(spark):
+    texts = [words(i % 700, 12) for i in range(9000)] + [None, "", "one two", words(1, 3000)]  # more than were once looked at
+    want = np.zeros(1 << simhash.COUNT_BITS, np.int64)
+    for x in texts:
+        for h in simhash.shingles((x or "").encode()):
+            want[h >> (64 - simhash.COUNT_BITS)] += 1
+    got = simhash.counted(spark.createDataFrame([(x,) for x in texts], "text string").repartition(3))
+    assert got.total.tolist() == want.tolist()
+
+
+def test_a_passage_that_two_texts_share_is_not_among_their_first_shingles(spark):
+    texts = []
+    for i in range(40):
+        passage = words(1000 + i, 30)
+        texts += [words(2 * i, 170) + " " + passage, passage + " " + words(2 * i + 1, 170)]
+    common = simhash.counted(spark.createDataFrame([(x,) for x in texts], "text string"))
+    rows = [(t, *simhash.signature(x.encode(), common)[1:]) for t, x in enumerate(texts)]
+    assert simhash._starts(spark.createDataFrame(rows, "t long, prefix array<long>, size long")).count() == 0
+
+
 def test_fewest_shared_is_the_bound_in_whole_numbers(spark):
     rows = [(n, m) for n in range(60) for m in range(60)]
     df = spark.createDataFrame(rows, "n long, m long").select("n", "m", simhash.fewest_shared(F.col("n"), F.col("m"), F.lit(0), F.lit(0)).alias("k"))
