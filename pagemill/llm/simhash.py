@@ -417,19 +417,38 @@ def _stars(starts: DataFrame) -> DataFrame:
     return both.select(F.col("x.t").alias("u"), F.col("t").alias("v"))
 
 
+def _most(h: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """For each row, the root that stands most often in its group of equal h (groups stand together)."""
+    order = np.lexsort((root, h))
+    a, b = h[order], root[order]
+    first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+    n = np.diff(np.append(first, len(h)))
+    run = np.lexsort((n, a[first]))
+    last = run[np.append(a[first][run][1:] != a[first][run][:-1], True)]  # the longest run of each group
+    known = a[first[last]]
+    return b[first[last]][np.searchsorted(known, h)]
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (h, t, root, size, place), sorted by h and size -> pairs of texts of different roots that share h and can be similar."""
 
     def pairs(h: np.ndarray, t: np.ndarray, root: np.ndarray, size: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
-        i, step = np.arange(len(h)), 1
-        while len(i):
-            i = i[: np.searchsorted(i, len(h) - step)]
-            i = i[(h[i] == h[i + step]) & (5 * size[i] >= 4 * size[i + step])]
-            j = i + step
-            good = (root[i] != root[j]) & can_be_similar(size[i], place[i], size[j], place[j])
-            if good.any():
-                yield pa.RecordBatch.from_arrays([pa.array(t[i[good]]), pa.array(t[j[good]])], ["u", "v"])
-            step += 1
+        # of two texts of different roots, one at least is not of the root that most texts of the group have
+        most = _most(h, root) == root
+        for way in (1, -1):
+            i, step = np.flatnonzero(~most), way
+            while len(i):
+                i = i[(i + step >= 0) & (i + step < len(h))]
+                j = i + step
+                # sizes ascend
+                near = (h[i] == h[j]) & (5 * size[np.minimum(i, j)] >= 4 * size[np.maximum(i, j)])
+                i, j = i[near], j[near]
+                good = (root[i] != root[j]) & can_be_similar(size[i], place[i], size[j], place[j])
+                if way < 0:  # the others have met it on their own way up
+                    good &= most[j]
+                if good.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(t[i[good]]), pa.array(t[j[good]])], ["u", "v"])
+                step += way
 
     rest = None
     for b in itertools.chain(batches, [None]):

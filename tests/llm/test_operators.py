@@ -766,6 +766,22 @@ def test_a_passage_that_two_texts_share_is_not_among_their_first_shingles(spark)
     assert simhash._starts(spark.createDataFrame(rows, "t long, prefix array<long>, size long")).count() == 0
 
 
+def test_texts_meet_across_roots_once_a_shingle():
+    r = np.random.RandomState(0)
+    for _ in range(60):
+        n = r.randint(1, 200)
+        h, size = r.randint(-5, 5, n), r.randint(1, 30, n)
+        order = np.lexsort((size, h))
+        h, size = h[order].astype(np.int64), size[order].astype(np.int64)
+        root, place, t = r.choice([1, 1, 1, 1, 2, 3, 4], n).astype(np.int64), (r.rand(n) * size * 0.2).astype(np.int64), np.arange(n)
+        near = lambda i, j: 5 * size[j] >= 4 * size[i] and simhash.can_be_similar(size[i], place[i], size[j], place[j])
+        want = {(j, i) for i in range(n) for j in range(i) if h[i] == h[j] and root[i] != root[j] and near(i, j)}
+        cuts = [0, *sorted(r.randint(0, n + 1, 3)), n]
+        batches = [pa.RecordBatch.from_arrays([pa.array(x[a:b]) for x in (h, t, root, size, place)], list("abcde")) for a, b in zip(cuts, cuts[1:], strict=False)]
+        got = [(min(u, v), max(u, v)) for b in simhash._meet(iter(batches)) for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_fewest_shared_is_the_bound_in_whole_numbers(spark):
     rows = [(n, m) for n in range(60) for m in range(60)]
     df = spark.createDataFrame(rows, "n long, m long").select("n", "m", simhash.fewest_shared(F.col("n"), F.col("m"), F.lit(0), F.lit(0)).alias("k"))
