@@ -66,8 +66,8 @@ def chunk_fold(text: Column | str, most: int) -> Column:
     return F.when(F.length(t) <= most, F.array(t)).otherwise(done)
 
 
-#: Rows that a function below puts out at once.
-BATCH = 4096
+#: Rows that a function below puts out at once, and pages that are drawn at once.
+BATCH, DRAWN = 4096, 256
 
 
 def exploded(df: DataFrame, text: str, each: Callable[[str], Iterator[tuple]], added: list[T.StructField]) -> DataFrame:
@@ -290,6 +290,8 @@ def rendered(pages_: DataFrame, c: PageConfig, fonts: DataFrame | None = None, f
     """
     from pagemill.sources import raster
 
+    # what a Python worker holds of files at once
+    pages_.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(DRAWN))
     g = geometry(c)
     found = None
     if fonts is not None and font is not None:
@@ -304,9 +306,9 @@ def rendered(pages_: DataFrame, c: PageConfig, fonts: DataFrame | None = None, f
         measure = glyphs.measure()
         advance = fitting(1, g["height"], measure.line_height, "top")[1]
         canvas = raster.canvas(g["width"], g["height"], tuple(background[x] for x in "rgb"))
-        for i, line in enumerate(text.split("\n")):
-            x = line_x(c.horizontal_alignment, g["width"], g["margin"], measure.width(line))
-            glyphs.draw(canvas, line, int(x), top + i * advance, NAMED_COLORS[ink])
+        lines = text.split("\n")
+        starts = [int(line_x(c.horizontal_alignment, g["width"], g["margin"], measure.width(line))) for line in lines]
+        glyphs.draw_lines(canvas, lines, starts, top, advance, NAMED_COLORS[ink])
         return raster.png(canvas, c.image_dpi)
 
     @F.pandas_udf("binary")

@@ -69,6 +69,39 @@ def test_png_round_trip_and_modes():
         assert (raster.read_png(file(7, 9, 8, 2, rows)) == x).all()
 
 
+def test_rows_that_repeat_round_trip():
+    r = np.random.default_rng(1)
+    for shape in ((1, 1, 3), (40, 9, 3), (300, 70, 3)):
+        x = np.repeat(r.integers(0, 256, shape).astype(np.uint8), r.integers(1, 60, shape[0]), axis=0)
+        x[len(x) // 2 :] = x[-1]  # a long run
+        data = raster.png(x)
+        assert (raster.read_png(data) == x).all()
+        at = data.index(b"IDAT")
+        assert zlib.crc32(data[at : at + 4 + struct.unpack(">I", data[at - 4 : at])[0]]) == struct.unpack(">I", data[-16:-12])[0]
+        assert raster.differing(x, x[0, 0]) == (x != x[0, 0]).any(2).sum()
+
+
+@pytest.mark.parametrize("y", (-20, 0, 37))
+def test_boxes_set_at_once_are_those_set_one_by_one(y):
+    g = raster.Glyphs.load(None, 12)
+    lines = ["", "  two  words", "\u00a0a\u3000b\u2009😀þ", "x" * 40, "\tend "]
+    starts = [5, -9, 0, 3, 190]
+    one, all_ = raster.canvas(200, 60, (250, 240, 230)), raster.canvas(200, 60, (250, 240, 230))
+    for i, line in enumerate(lines):
+        g.draw(one, line, starts[i], y + 14 * i, (1, 2, 3))
+    g.draw_lines(all_, lines, starts, y, 14, (1, 2, 3))
+    assert (one == all_).all()
+
+
+def test_a_page_is_drawn_without_a_call_for_each_letter(monkeypatch):
+    g = raster.Glyphs.load(None, 12)
+    calls = []
+    monkeypatch.setattr(raster.Glyphs, "draw", lambda *a: calls.append(a))
+    x = raster.canvas(512, 512, (255, 255, 255))
+    g.draw_lines(x, ["some words"] * 30, [26] * 30, 0, 14, (0, 0, 0))
+    assert not calls and raster.differing(x, np.full(3, 255)) == 30 * 9 * 36
+
+
 def test_images_as_rgb(spark):
     gray = raster.png(np.full((2, 3, 3), 7, np.uint8))
     df = spark.createDataFrame([(0, gray), (1, b"no image"), (2, None)], "i int, bytes binary")
