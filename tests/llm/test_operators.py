@@ -283,6 +283,36 @@ def test_bands_reject_what_strays_by_language(spark):
     assert two[0].log_ppl != two[1].log_ppl  # the order of words plays a part
 
 
+def test_rules_count_in_the_verdict(spark):
+    r = random.Random(17)
+    prose = lambda n, size=4: ["".join(r.choices("aeinrst", k=size)) for _ in range(n)]
+    mixed = lambda n: " ".join("".join(r.choices("aeinrst", k=r.randint(2, 6))) for _ in range(n))
+    spread = [mixed(r.randint(60, 200)) for _ in range(60)]
+    marked = lambda k: " ".join([w + "#" * (i < k) for i, w in enumerate(prose(200))])
+    lines = lambda k: "\n".join([*(mixed(30) for _ in range(6)), *["aren"] * k])
+    # (text, whether a rule beyond the base ones fails it): at a bound, and beyond it
+    cases = [(marked(20), False), (marked(21), True), (" ".join(prose(100, 3)), False), (" ".join([*prose(99, 3), "at"]), True)]
+    cases += [(" ".join(prose(100, 10)), False), (" ".join([*prose(99, 10), "a" * 11]), True)]
+    # seven equal lines of 14, eight of 15
+    cases += [(lines(8), False), (lines(9), True)]
+    got = {x.doc_id: x for x in quality.assessed(documents(spark, spread + [t for t, _ in cases])).collect()}
+    assert sum(not got[i].kept for i in range(60)) <= 1
+    for i, (_, fails) in enumerate(cases, 60):
+        assert not got[i].base_failed and got[i].rules_failed == fails
+        inside = got[i].band_low <= got[i].log_ppl <= got[i].band_high
+        assert got[i].kept == (inside and not fails)
+    # perplexity alone would keep some of what the rules reject
+    assert any(f and got[i].band_low <= got[i].log_ppl <= got[i].band_high for i, (_, f) in enumerate(cases, 60))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_rules_and_bands_on_labelled_documents(spark):
+    marks = {x.doc_id: x.quality for x in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = [x for x in quality.op2_quality_rules(spark, SF).collect() if x.doc_id in marks and not x.base_failed]
+    good, junk = ([x for x in rows if marks[x.doc_id] == v] for v in (1, 0))
+    assert junk and not any(x.kept for x in junk) and sum(not x.kept for x in good) <= 0.01 * len(good)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_bands_on_labelled_documents(spark):
     marks = {x.doc_id: x.quality for x in spark.read.parquet(f"{SF}/labels.parquet").collect()}
