@@ -568,13 +568,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     far = links.join(a, ["family", "u"]).join(b, ["family", "v"]).select("a", "b")
     same = each.groupBy("family", "fp", "t").agg(F.min("size").alias("size")).join(points, ["family", "fp"]).select(F.col("rep").alias("a"), F.struct("t", "size").alias("b"))
     sized = (5 * F.least("a.size", "b.size") >= 4 * F.greatest("a.size", "b.size")) & (F.col("a.t") != F.col("b.t"))
-    first = _new(far.union(same).where(sized).select(F.col("a.t").alias("u"), F.col("b.t").alias("v")))
-    near = _verified(texts, _likely(signed, first))
+    linked = far.union(same).where(sized).select(F.col("a.t").alias("u"), F.col("b.t").alias("v"))
     starts = _starts(signed)
-    second = _new(_stars(starts), first)
-    near = near.union(_verified(texts, _likely(signed, second)))
-    third = _new(_apart(starts, components(near)), first.union(second))
-    label = cut(components(near.union(_verified(texts, _likely(signed, third)))))
+    # the pairs of both ways are judged together: a text in pairs of both is fetched once
+    pairs = _new(linked.union(_stars(starts)))
+    label = cut(components(_verified(texts, _likely(signed, pairs))))
+    rest = _new(_apart(starts, label), pairs)
+    if not rest.isEmpty():
+        # from the groups so far, which are stars by now
+        more = _verified(texts, _likely(signed, rest))
+        label = cut(components(label.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more)))
     ids = signed.groupBy("k", "t").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
     rooted = cut(ids.join(label, F.col("t") == F.col("node"), "left").select("k", "doc_id", "n", F.coalesce("root", "t").alias("root")))
     best = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "k")).alias("s"), F.count("*").alias("members"), F.max("n").alias("most"))

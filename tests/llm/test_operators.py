@@ -7,6 +7,7 @@ import os
 import random
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pagemill.llm import decontamination, html, licenses, lm, mixing, pii, quality, simhash, suffixes, toxicity
-from pagemill.llm import common, registry
+from pagemill.llm import common, graph, registry
 from pagemill.llm.common import maybe_among
 from pagemill.llm.graph import components
 
@@ -643,6 +644,40 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
+def test_components_of_random_graphs(spark):
+    r = random.Random(11)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(i * 7 % 400 + 1000, i * 7 % 400 + 1001) for i in range(399)]
+    root = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in root:
+        for a, b in edges:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    got = components(spark.createDataFrame(edges, "u long, v long")).collect()
+    assert len(got) == len(root) and {x.node: x.root for x in got} == root
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph, "cut", lambda df: written.append(df) or common.cut(df))
+    stars = [(u, 0) for u in range(1, 40)] + [(50, u) for u in range(51, 60)] + [(70, 71)]
+    got = {x.node: x.root for x in components(spark.createDataFrame(stars, "u long, v long")).collect()}
+    assert got == {**{u: 0 for u in range(40)}, **{u: 50 for u in range(50, 60)}, 70: 70, 71: 70} and len(written) == 1
+    assert not components(spark.createDataFrame([], "u long, v long")).collect()
+
+
+def test_shuffle_files_go_with_the_checkpoint(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle")}
+
+    before, setting = files(), spark.conf.get(common.CLEANUP, "false")
+    kept = common.cut(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.monotonic() + 10
+    while (left := files() - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left and sum(x["count"] for x in kept.collect()) == 1000 and spark.conf.get(common.CLEANUP) == setting
+
+
 def test_no_folder_of_one_machine_on_a_cluster(spark, tmp_path):
     class Context:
         def __init__(self, master):
@@ -691,6 +726,15 @@ def test_near_copies_stay_once(spark):
     assert set(range(20)) <= stay and len(stay) <= 21
 
 
+def test_pairs_of_both_ways_are_judged_together(spark, monkeypatch):
+    judged, whole = [], simhash._verified
+    monkeypatch.setattr(simhash, "_verified", lambda texts, pairs: judged.append(pairs.count()) or whole(texts, pairs))
+    base = [words(i, 200).split() for i in range(12)]
+    texts = [" ".join(w) for w in base] + [" ".join([*w[:100], "edited", *w[101:]]) for w in base]
+    assert {r.doc_id for r in simhash.keep_one(documents(spark, texts)).collect()} == set(range(12))
+    assert judged == [12]
+
+
 def test_near_copies_have_a_similarity_of_at_least_four_fifths(spark):
     base = [words(100 + i, 400).split() for i in range(12)]
     texts = [" ".join(w) for w in base]
